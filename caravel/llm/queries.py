@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
-from .common import table
+from . import chat, idfiles, packing, quality, simhash, substring, warc
+from .common import scratch, table
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,4 +16,47 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_quality": op7_quality}
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: A conversation of control strings only, which every formatter has to carry through.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "ids")
+    idfiles.write(table(spark, sf_dir, "documents"), folder)
+    return idfiles.read(spark, folder)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op5_warc": op5_warc,
+    "op6_chat": op6_chat,
+    "op7_quality": op7_quality,
+    "op8_packing": op8_packing,
+    "op9_substring": op9_substring,
+    "op10_token_files": op10_token_files,
+}
