@@ -26,8 +26,8 @@ from .shards import AtomicFile, balanced_cuts, open_fs, shards_of, write_manifes
 from .tokens import END, default_vocabulary, encoder, texts_of
 
 MAGIC = b"CARAVID1"
-ENTRY = struct.Struct("<qBQIQ")
-TRAILER = struct.Struct("<QQ8s")
+ENTRY, ENTRY_SIZE = "<qBQIQ", 29
+TRAILER, TRAILER_SIZE = "<QQ8s", 24
 #: The dictionary is trained on the ids of at most so many documents, each up to so many bytes, and has so many bytes.
 TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 256, 1 << 15, 1 << 16
 LEVEL = 3
@@ -39,8 +39,8 @@ def _width(vocabulary: str) -> int:
     return 2 if encoder(vocabulary).vocabulary_size <= 1 << 16 else 4
 
 
-def _ids(vocabulary: str, data: bytes, width: int) -> bytes:
-    return encoder(vocabulary).encode(data, END).astype(f"<u{width}").tobytes()
+def _ids(vocabulary: str, texts: list[bytes], width: int) -> list[bytes]:
+    return [x.astype(f"<u{width}").tobytes() for x in encoder(vocabulary).encode_all(texts, END)]
 
 
 def train(docs: DataFrame, vocabulary: str, size: int = DICTIONARY_BYTES) -> bytes:
@@ -50,7 +50,7 @@ def train(docs: DataFrame, vocabulary: str, size: int = DICTIONARY_BYTES) -> byt
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = _width(vocabulary)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_ids(vocabulary, t, width)[:TRAIN_BYTES] for t in texts_of(batch.column(1))], pa.binary())], names=["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[:TRAIN_BYTES] for x in _ids(vocabulary, texts_of(batch.column(1)), width)], pa.binary())], names=["id", "ids"])
 
     rows = docs.where(F.col("id").isin(pick)).mapInArrow(run, "id long, ids binary").distinct().orderBy("id", "ids").limit(TRAIN_DOCS).collect() if pick else []
     samples = [bytes(r.ids) for r in rows]
@@ -86,9 +86,9 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, packer = _width(path), zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(load(folder, f"dictionary-{digest}.zdict")))
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                raw = [_ids(path, t, width) for t in texts_of(part.column(1))]
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                raw = _ids(path, texts_of(part.column(1)), width)
                 ids = part.column(0)
                 at = np.where(ids.is_valid().to_numpy(zero_copy_only=False), shards_of(cuts, ids.fill_null(0).to_numpy()), 0).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(at), ids, pa.array([len(x) // width for x in raw], pa.int64()), pa.array([packer.compress(x) for x in raw], pa.binary())], names=["shard", "id", "n", "frame"])
@@ -99,8 +99,8 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         def close() -> pa.RecordBatch:
             place = out.size
             for i in range(0, len(index), 4096):
-                out.write(b"".join(ENTRY.pack(*e) for e in index[i : i + 4096]))
-            out.write(TRAILER.pack(place, len(index), MAGIC))
+                out.write(b"".join(struct.pack(ENTRY, *e) for e in index[i : i + 4096]))
+            out.write(struct.pack(TRAILER, place, len(index), MAGIC))
             out.commit()
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in (shard, out.name, len(index), tokens, out.size, out.sha.hexdigest(), digest)], names=names)
 
@@ -136,12 +136,12 @@ class Shard:
         fs, base = open_fs(folder)
         self.file = fs.open_input_file(f"{base}/{name}")
         size = self.file.size()
-        place, n, magic = TRAILER.unpack(self.file.read_at(TRAILER.size, size - TRAILER.size))
+        place, n, magic = struct.unpack(TRAILER, self.file.read_at(TRAILER_SIZE, size - TRAILER_SIZE))
         head = self.file.read_at(len(MAGIC) + 33, 0)
         if magic != MAGIC or head[:8] != MAGIC or head[8:40] != hashlib.sha256(dictionary).digest():
             raise ValueError(f"{name} is not a shard of this dictionary")
         self.width, self.n = head[40], n
-        self.entries = np.frombuffer(self.file.read_at(n * ENTRY.size, place), dtype=np.dtype([("id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("n", "<u8")]))
+        self.entries = np.frombuffer(self.file.read_at(n * ENTRY_SIZE, place), dtype=np.dtype([("id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("n", "<u8")]))
         self.open = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
 
     def ids(self, i: int) -> np.ndarray:

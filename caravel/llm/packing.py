@@ -35,16 +35,13 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            keys, rows = batch.column(0).to_pylist(), []
-            for key, data in zip(keys, texts_of(batch.column(1)), strict=True):
-                ids = enc.encode(data, END).astype("<u4", copy=False)
-                for at in range(0, len(ids), capacity):
-                    raw = ids[at : at + capacity].tobytes()
-                    rows.append((key, at, len(raw) // 4, zlib.crc32(raw), len(ids), raw))
-                if len(rows) >= 2048:
-                    yield batch_of(rows)
-                    rows = []
-            if rows:
+            for i in range(0, batch.num_rows, 64):
+                part, rows = batch.slice(i, 64), []
+                for key, ids in zip(part.column(0).to_pylist(), enc.encode_all(texts_of(part.column(1)), END), strict=True):
+                    ids = ids.astype("<u4", copy=False)
+                    for at in range(0, len(ids), capacity):
+                        raw = ids[at : at + capacity].tobytes()
+                        rows.append((key, at, len(raw) // 4, zlib.crc32(raw), len(ids), raw))
                 yield batch_of(rows)
 
     def batch_of(rows: list) -> pa.RecordBatch:

@@ -163,7 +163,11 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     masked = lambda mask: F.col("fp").bitwiseAND(F.lit(_signed(mask)))
     home = nodes.select("node", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("part"), masked(m).alias("value")) for i, m, _ in parts])).alias("k")).select("node", "fp", "k.part", "k.value")
     # of two nodes the one with the smaller value in the partition probes; equal values meet in the index
-    arrays = [F.filter(F.transform(F.array(*[F.lit(x) for x in _flips(m, t)]), lambda x, i=i, m=m: F.struct(F.lit(i).alias("part"), masked(m).bitwiseXOR(x).alias("value"))), lambda s, m=m: s["value"] >= masked(m)) for i, m, t in parts]
+    def around(i: int, mask: int, t: int):
+        values = F.transform(F.array(*[F.lit(x) for x in _flips(mask, t)]), lambda x: F.struct(F.lit(i).alias("part"), masked(mask).bitwiseXOR(x).alias("value")))
+        return F.filter(values, lambda s: s["value"] >= masked(mask))
+
+    arrays = [around(*p) for p in parts]
     probes = nodes.select("node", "fp", F.explode(F.concat(*arrays)).alias("k")).select("node", "fp", "k.part", "k.value")
     sizes = home.groupBy("part", "value").agg(F.count("*").alias("n"))
     hot = cut(sizes.where(F.col("n") > HOT))

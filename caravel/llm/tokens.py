@@ -14,7 +14,7 @@ import numpy as np
 
 END = 2
 #: Distinct words that one Python worker remembers; beyond it the cache starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 def default_vocabulary() -> str:
@@ -31,6 +31,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(vocabulary), cache_words
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in tokens.items() if t.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
@@ -52,22 +55,47 @@ class WordEncoder:
         core = core.lower() if core.isascii() else core
         return (core, tail) if tail else (core,)
 
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Runs of letters go to the library in one text: a token with the end-of-word suffix closes each."""
+        runs = [p for p in parts if p.isalpha()]
+        for i in range(0, len(runs), 2000):
+            some = runs[i : i + 2000]
+            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            stops = [0, *(np.flatnonzero(self.closes[ids]) + 1).tolist()]
+            if len(stops) == len(some) + 1:
+                self.cores.update(zip(some, [ids[a:b] for a, b in zip(stops, stops[1:], strict=False)], strict=True))
+        rest = [p for p in parts if p not in self.cores]  # not of letters alone, or cut otherwise by the library
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.cores[p] = e.ids
+
     def _learn(self, missing: list[bytes]) -> None:
         parts = [self._parts(w) for w in missing]
-        new = list({p for ps in parts for p in ps if p not in self.cores})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.cores[p] = e.ids
-        for w, ps in zip(missing, parts, strict=True):
-            ids = self.cores[ps[0]] if len(ps) == 1 else self.cores[ps[0]] + self.cores[ps[1]]
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if self.n + 2 > len(self.offset):
-                self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.index[w] = self.n
-            self.used += len(ids)
-            self.n += 1
-            self.offset[self.n] = self.used
+        self._encode_parts(list({p for ps in parts for p in ps if p not in self.cores}))
+        cores, flat, sizes = self.cores, [], []
+        for ps in parts:
+            n = len(flat)
+            for p in ps:
+                flat += cores[p]
+            sizes.append(len(flat) - n)
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(sizes) + 1 > len(self.offset):
+            self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.offset[self.n + 1 : self.n + 1 + len(sizes)] = self.used + np.cumsum(sizes)
+        self.index.update(zip(missing, range(self.n, self.n + len(sizes)), strict=True))
+        self.used += len(flat)
+        self.n += len(sizes)
+
+    def encode_all(self, texts: list[bytes], end: int | None = None) -> list[np.ndarray]:
+        """encode() of several texts, whose new words are learnt together."""
+        missing = {w for t in texts for w in t.split() if w not in self.index}
+        if missing:
+            if len(self.index) + len(missing) > self.limit and self.index:
+                self.reset()
+            else:
+                self._learn(list(missing))
+        return [self.encode(t, end) for t in texts]
 
     def encode(self, data: bytes, end: int | None = None) -> np.ndarray:
         words = data.split()

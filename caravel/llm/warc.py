@@ -152,7 +152,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
             for name in batch.column(0).to_pylist():
                 fs, base = open_fs(folder)
                 rows = []
-                with fs.open_input_stream(f"{base}/{name}") as f:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
                     for fields, block in records(f):
                         head, _, body = block.partition(b"\r\n\r\n")
                         http = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
