@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, idfiles, packing, quality, simhash, substring, warc
+from . import chat, decontaminate, idfiles, langid, licenses, packing, quality, simhash, substring, warc
 from .common import scratch, table
 
 
@@ -25,6 +25,19 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
@@ -51,12 +64,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(spark, folder)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
+    "op3_licenses": op3_licenses,
+    "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_chat": op6_chat,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_substring": op9_substring,
     "op10_token_files": op10_token_files,
+    "pipeline": pipeline,
 }

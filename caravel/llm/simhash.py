@@ -24,6 +24,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,12 +32,17 @@ from pyspark.sql import functions as F
 
 from .common import cut
 from .graph import connected_components
+from .texthash import gram_hashes, word_hashes
 
 BITS = 64
 #: Fingerprints sampled for correlations and candidate counts; a bound on what the driver holds.
 SAMPLE = 4096
 #: Index buckets with more nodes than this are compared in blocks of at most BLOCK nodes.
 HOT, BLOCK = 64, 1024
+#: ... and than so many times the mean bucket.
+HOT_MEANS = 4
+#: Bins of the sketches by which links are verified where a similarity is asked for.
+SKETCH = 128
 #: Relative costs: a probe is shuffled and sorted, a candidate is one comparison within a join.
 PROBE_COST, CANDIDATE_COST = 20.0, 1.0
 
@@ -71,6 +77,35 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
+def sketch(text: str | None, shingle: int) -> bytes:
+    """One-permutation MinHash of the distinct shingles: SKETCH bins of 16 bits, 0 where a bin is empty."""
+    wh = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+    g = np.unique(gram_hashes(wh, min(shingle, max(1, len(wh)))))
+    out = np.zeros(SKETCH, dtype="<u2")
+    if len(g):
+        bins = (g >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+        first = np.flatnonzero(np.diff(bins, prepend=-1))
+        out[bins[first]] = (g[first] & np.uint64(0xFFFF)).astype("<u2") | 1
+    return out.tobytes()
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(node, sketch) for every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sketch(t.as_py(), shingle) for t in batch.column(1)], pa.binary())], names=["node", "sketch"])
+
+    return docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).mapInArrow(run, "node long, sketch binary")
+
+
+def similarities(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarities of rows of sketches; those without a shingle are equal."""
+    either = (x > 0) | (y > 0)
+    n = either.sum(axis=1)
+    return np.where(n > 0, ((x == y) & either).sum(axis=1) / np.maximum(n, 1), 1.0)
+
+
 def group_bits(bits: np.ndarray, m: int) -> list[list[int]]:
     """m groups of 64 // m bits or one more: each starts at the first bit left and takes those most correlated to it."""
     with np.errstate(all="ignore"):
@@ -131,17 +166,21 @@ def _flips(mask: int, t: int) -> list[int]:
     return [_signed(sum(c)) for k in range(t + 1) for c in combinations(bits, k)]
 
 
-def _block_links(radius: int):
+def _block_links(radius: int, similarity: float | None):
     """For a pair of blocks: the links between index and probing nodes, as a forest of (node, least node reached)."""
 
     def run(pdf):
-        import pandas as pd
-
         home, probe = pdf[pdf["home"]], pdf[~pdf["home"]]
         if home.empty or probe.empty:
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         x, y = probe["fp"].to_numpy().view(np.uint64), home["fp"].to_numpy().view(np.uint64)
         near = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
+        if similarity is not None:
+            a, b = (np.frombuffer(b"".join(p["sketch"]), "<u2").reshape(len(p), SKETCH) for p in (probe, home))
+            i, j = np.nonzero(near)
+            for at in range(0, len(i), 1 << 15):
+                c = slice(at, at + (1 << 15))
+                near[i[c], j[c]] = similarities(a[i[c]], b[j[c]]) >= similarity
         lx, ly, top = probe["node"].to_numpy().copy(), home["node"].to_numpy().copy(), np.iinfo(np.int64).max
         while True:
             nx = np.minimum(lx, np.where(near, ly[None, :], top).min(axis=1))
@@ -155,8 +194,11 @@ def _block_links(radius: int):
     return run
 
 
-def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do."""
+def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do.
+
+    With ``known`` sketches (node, sketch) only pairs of at least the ``similarity`` count.
+    """
     count = nodes.count()
     sample = np.array([r.fp for r in nodes.orderBy(F.xxhash64("fp")).limit(SAMPLE).select("fp").collect()], dtype=np.int64).view(np.uint64)
     parts = [(i, mask, t) for i, (mask, t) in enumerate(plan(sample, count, radius))]
@@ -170,7 +212,8 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     arrays = [around(*p) for p in parts]
     probes = nodes.select("node", "fp", F.explode(F.concat(*arrays)).alias("k")).select("node", "fp", "k.part", "k.value")
     sizes = home.groupBy("part", "value").agg(F.count("*").alias("n"))
-    hot = cut(sizes.where(F.col("n") > HOT))
+    mean = F.element_at(F.create_map(*[c for i, m, _ in parts for c in (F.lit(i), F.lit(HOT + HOT_MEANS * count / 2.0 ** m.bit_count()))]), F.col("part"))
+    hot = cut(sizes.where(F.col("n") > mean))
     some_hot = bool(hot.take(1))
     cold = home.join(hot.select("part", "value"), ["part", "value"], "left_anti") if some_hot else home
     own = F.element_at(F.create_map(*[c for i, m, _ in parts for c in (F.lit(i), F.col("p.fp").bitwiseAND(F.lit(_signed(m))))]), F.col("h.part"))
@@ -178,6 +221,8 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     close = F.bit_count(F.col("h.fp").bitwiseXOR(F.col("p.fp"))) <= radius
     once = (own < F.col("p.value")) | (F.col("p.node") < F.col("h.node"))
     found = probes.alias("p").join(cold.alias("h"), met & close & once).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
+    if known is not None:
+        found = _verified(found.distinct(), known, similarity)
     if not some_hot:
         return found
     # a hot bucket of n nodes and p probes: ceil(n / BLOCK) x ceil(p / BLOCK) groups
@@ -189,20 +234,41 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     cols = ["part", "value", "i", "j", "node", "fp"]
     left = home.join(pb, ["part", "value"]).withColumn("i", block("nb")).withColumn("j", all_of("pb")).select(*cols, F.lit(True).alias("home"))
     right = probes.join(pb, ["part", "value"]).withColumn("j", block("pb")).withColumn("i", all_of("nb")).select(*cols, F.lit(False).alias("home"))
-    forest = left.union(right).groupBy("part", "value", "i", "j").applyInPandas(_block_links(radius), "a long, b long")
+    both = left.union(right)
+    both = both.join(known, "node") if known is not None else both
+    forest = both.groupBy("part", "value", "i", "j").applyInPandas(_block_links(radius, similarity), "a long, b long")
     return found.union(forest)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
-    """(id, fp, component_id) for every row of ``docs``: component_id is the least id reachable over links."""
+def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    @F.pandas_udf("boolean")
+    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(v), "<u2").reshape(len(v), SKETCH) for v in (x, y))
+        return pd.Series(similarities(a, b) >= similarity)
+
+    one = known.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    other = known.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    return pairs.join(one, "a").join(other, "b").where(similar("x", "y")).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, similarity: float | None = None) -> DataFrame:
+    """(id, fp, component_id) for every row of ``docs``: component_id is the least id reachable over links.
+
+    With a ``similarity``, fingerprints within ``radius`` bits are candidates, and a link needs an estimated Jaccard
+    similarity of the shingles of at least that much.
+    """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     nodes = cut(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("node")))
-    found = connected_components(links(nodes, radius))
+    known = None
+    if similarity is not None:
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        known = cut(sketches(rows, "id", "text", shingle).where("node is not null").groupBy("node").agg(F.min("sketch").alias("sketch")))
+    found = connected_components(links(nodes, radius, known, similarity))
     of = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 10, shingle: int = 5, similarity: float | None = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its near-duplicates; rows without an id stay."""
-    gone = near_duplicates(docs, id_col, text_col, radius, shingle).where("component_id < id").select(F.col("id").alias("_s_id")).distinct()
+    gone = near_duplicates(docs, id_col, text_col, radius, shingle, similarity).where("component_id < id").select(F.col("id").alias("_s_id")).distinct()
     return docs.join(gone, docs[id_col].cast("long") == gone["_s_id"], "left_anti")
