@@ -44,6 +44,32 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Lets a write release its shuffle files as soon as it is over.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+    """``df`` as a table below the shared folder, and its path; the shuffle files that it took are released at once.
+
+    The table goes when the application ends, or by drop().
+    """
+    spark = df.sparkSession
+    path, before = scratch(spark, kind), spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def words(text) -> F.Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text column, JVM side; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop, stored
 from .texthash import gram_hashes, minimizers, split, word_hashes
 
 WINDOW, SEED = 13, 5
@@ -81,6 +81,7 @@ def windows(docs: DataFrame, k: int, window: int) -> DataFrame:
     """(h, h2, id, at) of the windows that hold one of a row's shared seeds; docs (id, text, shared: array of seeds)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 shared = batch.column(2)[i].values
@@ -97,12 +98,18 @@ def windows(docs: DataFrame, k: int, window: int) -> DataFrame:
                 np.add.at(mark, np.minimum(at + 1, n), -1)
                 own = np.flatnonzero(np.cumsum(mark[:n]) > 0)
                 h, h2 = gram_hashes(wh, window)[own], gram_hashes(word_hashes(data, 1), window, 1)[own]
-                for j in range(0, len(own), 1 << 16):
-                    c = slice(j, j + (1 << 16))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[c].view(np.int64)), pa.array((h2[c] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(np.full(len(own[c]), batch.column(0)[i].as_py(), np.int64)), pa.array(own[c].astype(np.int32))],
-                        names=["h", "h2", "id", "at"],
-                    )
+                held.append((h.view(np.int64), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), np.full(len(own), batch.column(0)[i].as_py(), np.int64), own.astype(np.int32)))
+                size += len(own)
+                if size >= 1 << 16:
+                    yield from flush(held)
+                    held, size = [], 0
+        if held:
+            yield from flush(held)
+
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+        for j in range(0, len(cols[0]), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(c[j : j + (1 << 17)]) for c in cols], names=["h", "h2", "id", "at"])
 
     return docs.mapInArrow(run, "h long, h2 int, id long, at int")
 
@@ -145,10 +152,12 @@ def matches(rows: DataFrame, copies: DataFrame, window: int = WINDOW, seed: int
 
     ref is the least id with the window, ref_at a place of it there.
     """
-    found = seeds(rows, seed, window)
+    spark = rows.sparkSession
+    found, place = stored(seeds(rows, seed, window), "seeds")
     shared = found.groupBy("seed").agg(F.min("words").alias("a"), F.max("words").alias("b")).where("a < b").select("seed")
     marked = found.select("seed", "id").join(shared, "seed").groupBy("id").agg(F.collect_set("seed").alias("shared"))
-    marked = cut(marked.join(copies.select("id"), "id", "left_anti"))
+    marked, _ = stored(marked.join(copies.select("id"), "id", "left_anti"), "marked")
+    drop(spark, place)
     held = windows(rows.join(marked, "id"), seed, window)
     index = held.groupBy("h", "h2").agg(F.min("id").alias("ref"), F.max("id").alias("last"), F.min_by("at", "id").alias("ref_at")).where("ref < last").drop("last")
     matched = held.join(index, ["h", "h2"]).where("ref < id")
