@@ -69,15 +69,11 @@ def member(page_id: int, url: str | None, payload: bytes, refers_to: int | None)
     return gzip.compress(text.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n", compresslevel=6, mtime=0)
 
 
-def marked(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(id, url, payload, refers_to): equal payloads found by SHA-256 and length, the largest id of each aggregated first."""
-    rows = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
-    keyed = rows.withColumn("sha", F.sha2("payload", 256))
-    large = F.octet_length("payload") >= min_bytes
-    # the payload stays out of this shuffle: ids and digests are enough to find what an id refers to
-    least = keyed.where(large).groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").select("sha", "top")
-    refs = keyed.where(large).select("id", "sha").join(least, "sha").where("id < top").groupBy("id", "sha").agg(F.max("top").alias("refers_to"))
-    return keyed.join(refs, ["id", "sha"], "left").select("id", "url", "payload", "refers_to")
+def revisits(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(id, sha, refers_to) of rows (id, sha, bytes) whose payload a larger id has too; the largest is aggregated first."""
+    large = rows.where(F.col("bytes") >= min_bytes)
+    top = large.groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").select("sha", "top")
+    return large.select("id", "sha").join(top, "sha").where("id < top").groupBy("id", "sha").agg(F.max("top").alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -95,10 +91,15 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             out.commit()
             return pa.RecordBatch.from_pylist([{"shard": shard, "part": part, "name": out.name, "n_records": n, "bytes": out.size, "sha256": out.sha.hexdigest()}], schema=schema)
 
+        at, refers_to = None, None
         try:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    s, key, url, payload, ref = (c[i].as_py() for c in batch.columns)
+                    s, key, sha, is_page, url, payload, to = (c[i].as_py() for c in batch.columns)
+                    if not is_page:  # stands before the pages that it is about
+                        at, refers_to = (key, sha), to
+                        continue
+                    ref = refers_to if at == (key, sha) else None
                     if out is not None and (s != shard or out.size >= roll_bytes):
                         yield close()
                         out, part = None, part + 1
@@ -115,9 +116,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             if out is not None:
                 out.abort()
 
-    rows = marked(pages, id_col, url_col, payload_col, min_bytes).withColumn("shard", cut_at("id"))
+    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+    rows = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(payload, 256)).alias("sha"), F.col(url_col).alias("url"), payload.alias("payload"))
+    refs = revisits(rows.select("id", "sha", F.octet_length("payload").alias("bytes")), min_bytes)
+    # payloads are dealt once: what a page refers to comes to its shard as a row of its own
+    both = rows.select("id", "sha", F.lit(True).alias("is_page"), "url", "payload", F.lit(None).cast("long").alias("refers_to")).unionByName(refs.select("id", "sha", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to"))
     n = min(len(cuts) + 1, max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.select("shard", "id", "url", "payload", "refers_to").repartition(n, "shard").sortWithinPartitions("shard", "id", F.sha1("payload"), "url")
+    keys = ["shard", "id", "sha", "is_page"]
+    dealt = both.withColumn("shard", cut_at("id")).select(*keys, "url", "payload", "refers_to").repartition(n, "shard").sortWithinPartitions(*keys, "url")
     return write_manifest(dealt.mapInArrow(save, "shard int, part int, name string, n_records long, bytes long, sha256 string"), folder)
 
 
