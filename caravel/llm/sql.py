@@ -1,3 +1,47 @@
-"""DuckDB SQL for the queries that SQL can express."""
+r"""DuckDB SQL for the queries that SQL can express; the others are held against brute force in tests/llm."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, cast(strlen(h) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((('0x' || substr(s, cast(i // 4 * 5 + 1 AS INT), 5))::INT >> cast(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM p"""
+
+OP6 = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS x FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, replace(replace(x, '\', '\\'), '<|', '<\|') AS esc FROM c),
+g AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn) AS whole,
+             coalesce(string_agg(x, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
+             sum(length(role) + length(esc) + 24) AS chars FROM e GROUP BY conv_id)
+SELECT conv_id, n AS n_turns, sha256(whole) AS turns_sha256, cast(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, cast(chars AS BIGINT) AS formatted_chars FROM g"""
+
+OP7 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS ws FROM documents),
+m AS (SELECT doc_id, t, ws, cast(len(ws) AS BIGINT) AS n_words,
+             cast(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(ws, i, i + 7), ' ')) AS c FROM m, unnest(range(1, greatest(len(ws) - 6, 1))) u(i)),
+rep AS (SELECT doc_id, cast(sum(w) AS BIGINT) AS n FROM (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS w FROM win WHERE c > 1) GROUP BY doc_id),
+f AS (SELECT m.*, cast(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM m LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols > n_words OR 2 * n_dup_lines > len(lines) OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR len(regexp_extract_all(t, '\p{{L}}+')) < 10) AS kept
+FROM b"""
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS k FROM d, unnest(range(1, greatest(len(ws) - 11, 1))) u(i)),
+first AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN first USING (k), range(0, 13) r(j) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE: dict[str, str] = {"op5_warc": OP5, "op6_chat": OP6, "op7_quality": OP7, "op9_substring": OP9}

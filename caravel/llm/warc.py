@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .shards import AtomicFile, balanced_cuts, open_fs, shards_of, write_manifest
 
 #: Files are rolled at so many compressed bytes; a shard holds about so many bytes of payload.
-ROLL_BYTES, SHARD_BYTES = 16 << 20, 64 << 20
+ROLL_BYTES, SHARD_BYTES = 16 << 20, 16 << 20
 #: WARC-Date of every record, so that equal tables give equal bytes.
 DATE = "1970-01-01T00:00:00Z"
 _SPACE = 0x6361726176656C70 << 64
