@@ -156,12 +156,15 @@ def matches(rows: DataFrame, copies: DataFrame, window: int = WINDOW, seed: int
     found, place = stored(seeds(rows, seed, window), "seeds")
     shared = found.groupBy("seed").agg(F.min("words").alias("a"), F.max("words").alias("b")).where("a < b").select("seed")
     marked = found.select("seed", "id").join(shared, "seed").groupBy("id").agg(F.collect_set("seed").alias("shared"))
-    marked, _ = stored(marked.join(copies.select("id"), "id", "left_anti"), "marked")
+    marked, at = stored(marked.join(copies.select("id"), "id", "left_anti"), "marked")
     drop(spark, place)
-    held = windows(rows.join(marked, "id"), seed, window)
-    index = held.groupBy("h", "h2").agg(F.min("id").alias("ref"), F.max("id").alias("last"), F.min_by("at", "id").alias("ref_at")).where("ref < last").drop("last")
+    held, place = stored(windows(rows.join(marked, "id"), seed, window), "windows")
+    drop(spark, at)
+    index = held.groupBy("h", "h2").agg(F.min("id").alias("ref"), F.min_by("at", "id").alias("ref_at"))
     matched = held.join(index, ["h", "h2"]).where("ref < id")
-    return matched.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("at", "ref", "ref_at"))).alias("found"))
+    found, _ = stored(matched.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("at", "ref", "ref_at"))).alias("found")), "matches")
+    drop(spark, place)
+    return found
 
 
 FOUND = "array<struct<at:int,ref:bigint,ref_at:int>>"
