@@ -70,6 +70,29 @@ def drop(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: A key is looked for as hot among this share of rows, and is hot with so many of a partition's fair share of rows.
+HOT_SAMPLE, HOT_SHARE = 32, 0.5
+
+
+def with_aggregates(df: DataFrame, keys: list[str], aggregates: list, by: str) -> DataFrame:
+    """Rows of a stored table with aggregates over their key's rows, without meeting a hot key's rows in one task.
+
+    Which keys are hot is read off one row in HOT_SAMPLE, chosen by ``by``; that decides only the way, the aggregates
+    are exact.  Hot keys are so few by definition, at most 4 a partition, that their aggregates, summed up map-side,
+    are broadcast; the others' are joined by a shuffle.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(64, HOT_SHARE * df.count() / partitions / HOT_SAMPLE)
+    sampled = df.where(F.pmod(F.xxhash64(by), F.lit(HOT_SAMPLE)) == 0).groupBy(*keys).agg(F.count("*").alias("_n"))
+    heavy = [tuple(r[k] for k in keys) for r in sampled.where(F.col("_n") >= least).orderBy(F.desc("_n"), *keys).limit(4 * partitions).collect()]
+    plain = lambda rows: rows.join(rows.groupBy(*keys).agg(*aggregates), keys)
+    if not heavy:
+        return plain(df)
+    hot = F.broadcast(df.sparkSession.createDataFrame(heavy, df.select(*keys).schema))
+    mine = df.join(hot, keys, "left_semi")
+    return plain(df.join(hot, keys, "left_anti")).unionByName(mine.join(F.broadcast(mine.groupBy(*keys).agg(*aggregates)), keys))
+
+
 def words(text) -> F.Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text column, JVM side; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, stored
+from .common import cut, drop, stored, with_aggregates
 from .texthash import gram_hashes, minimizers, split, word_hashes
 
 WINDOW, SEED = 13, 5
@@ -154,14 +154,13 @@ def matches(rows: DataFrame, copies: DataFrame, window: int = WINDOW, seed: int
     """
     spark = rows.sparkSession
     found, place = stored(seeds(rows, seed, window), "seeds")
-    shared = found.groupBy("seed").agg(F.min("words").alias("a"), F.max("words").alias("b")).where("a < b").select("seed")
-    marked = found.select("seed", "id").join(shared, "seed").groupBy("id").agg(F.collect_set("seed").alias("shared"))
+    known = with_aggregates(found, ["seed"], [F.min("words").alias("a"), F.max("words").alias("b")], "id")
+    marked = known.where("a < b").groupBy("id").agg(F.collect_set("seed").alias("shared"))
     marked, at = stored(marked.join(copies.select("id"), "id", "left_anti"), "marked")
     drop(spark, place)
     held, place = stored(windows(rows.join(marked, "id"), seed, window), "windows")
     drop(spark, at)
-    index = held.groupBy("h", "h2").agg(F.min("id").alias("ref"), F.min_by("at", "id").alias("ref_at"))
-    matched = held.join(index, ["h", "h2"]).where("ref < id")
+    matched = with_aggregates(held, ["h", "h2"], [F.min("id").alias("ref"), F.min_by("at", "id").alias("ref_at")], "id").where("ref < id")
     found, _ = stored(matched.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("at", "ref", "ref_at"))).alias("found")), "matches")
     drop(spark, place)
     return found

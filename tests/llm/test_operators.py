@@ -415,3 +415,14 @@ def test_minimizers_meet_every_window():
     at = set(texthash.minimizers(g, 9).tolist())
     assert all(at & set(range(i, i + 9)) for i in range(len(g) - 8))
     assert texthash.word_hashes(b"  a b\n\x0ba ").tolist()[0] == texthash.word_hashes(b"a").tolist()[0] and len(texthash.word_hashes(b"")) == 0 == len(texthash.word_hashes(b" \t"))
+
+
+def test_hot_keys_go_another_way(spark, monkeypatch):
+    from caravel.llm import common
+
+    monkeypatch.setattr(common, "HOT_SAMPLE", 1)
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).cast("long").alias("k"))
+    got = common.with_aggregates(df, ["k"], [F.min("id").alias("lo"), F.count("*").alias("n")], "id")
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    want = df.join(df.groupBy("k").agg(F.min("id").alias("lo"), F.count("*").alias("n")), "k")
+    assert sorted(map(tuple, got.select("id", "k", "lo", "n").collect())) == sorted(map(tuple, want.select("id", "k", "lo", "n").collect()))
