@@ -61,7 +61,9 @@ def windows(rows: DataFrame, key: str) -> DataFrame:
     two = one.select(key, "tokens", "words", "one", _joined(c("one"), c("one"), 1).alias("two"))
     four = two.select(key, "tokens", "words", "one", _joined(c("two"), c("two"), 2).alias("four"))
     five = four.select(key, "tokens", "words", F.slice(_joined(c("four"), c("one"), 4), F.lit(1), F.greatest(F.size("one") - (WINDOW - 1), F.lit(0))).alias("five"))
-    return five.select(key, "tokens", "words", F.posexplode("five").alias("at", "h"))
+    # the outer form: for the plain one the optimizer adds a filter on the array's size, and pushing that below the
+    # projections evaluates each of them again, many times over
+    return five.select(key, "tokens", "words", F.posexplode_outer("five").alias("at", "h")).where("h IS NOT NULL")
 
 
 def slots(at: Column) -> Column:
