@@ -86,6 +86,8 @@ class Rewriter:
     def block(self, x: Tree, several: bool = False) -> Tree:
         if not x or not any(is_word(y, "SELECT") for y in x):
             return self.expressions(x)
+        if any(is_word(y, "CONNECT") and is_word(z, "BY") for y, z in zip(x, x[1:], strict=False)):
+            return self._hierarchy(x)
         at = next(i for i, y in enumerate(x) if is_word(y, "SELECT"))
         head, rest, limit, skip = self.expressions(x[:at]) + [x[at]], x[at + 1 :], None, None
         while rest and is_word(rest[0], "FIRST", "SKIP"):
@@ -134,6 +136,29 @@ class Rewriter:
             return [raw("("), *out, raw(")")]
         return out
 
+    def _hierarchy(self, x: Tree) -> Tree:
+        """SELECT ... FROM t [WHERE c] [START WITH s] CONNECT BY PRIOR a = b [ORDER BY ...] as a recursive query with LEVEL."""
+        find = lambda *words: next((i for i in range(len(x)) if all(i + k < len(x) and is_word(x[i + k], w) for k, w in enumerate(words))), None)
+        select, source, connect, start, where, order = find("SELECT"), find("FROM"), find("CONNECT", "BY"), find("START", "WITH"), find("WHERE"), find("ORDER", "BY")
+        marks = sorted(i for i in (connect, start, where, order, len(x)) if i is not None)
+        part = lambda i, skip: x[i + skip : next(m for m in marks if m > i)]
+        link = part(connect, 2)
+        prior = next((i for i, y in enumerate(link) if is_word(y, "PRIOR")), None)
+        equal = next((i for i, y in enumerate(link) if is_op(y, "=")), None)
+        if is_word(link[0], "NOCYCLE") or prior is None or equal is None or sum(is_op(y, "=") for y in link) != 1:
+            raise DialectError(f"line {x[connect].line}: CONNECT BY other than PRIOR a = b")
+        column = lambda run: flat(run)[-1].text.strip('"')
+        sides = [[y for y in side if not is_word(y, "PRIOR")] for side in (link[:equal], link[equal + 1 :])]
+        parent, child = (sides[0], sides[1]) if prior < equal else (sides[1], sides[0])
+        table = x[source + 1 : next(m for m in marks if m > source)]
+        if len(table) != 1 or not isinstance(table[0], Token):
+            raise DialectError(f"line {x[connect].line}: CONNECT BY over one table without alias only")
+        name = render(table).strip()
+        text = lambda run: render(flat(self.expressions(run))).strip()
+        root = f" WHERE {text(part(start, 2))}" if start is not None else ""
+        rest = (f" WHERE {text(part(where, 1))}" if where is not None else "") + (f" ORDER BY {text(part(order, 2))}" if order is not None else "")
+        return [raw(f"WITH RECURSIVE _h AS (SELECT *, 1 AS level FROM {name}{root} UNION ALL SELECT _t.*, _h.level + 1 FROM _h JOIN {name} AS _t ON _t.{column(child)} = _h.{column(parent)}) SELECT {text(x[select + 1 : source])} FROM _h{rest}")]
+
     @staticmethod
     def _spaced(x: Tree) -> Tree:
         return [raw(" " + render(flat(x)).strip())]
@@ -204,7 +229,10 @@ class Rewriter:
             elif is_word(y, "SIMILAR") and is_word(follows, "TO"):
                 out.append(y.with_text("RLIKE"))
                 i += 1
-            elif is_word(y) and isinstance(follows, list):
+            elif is_word(y, "SINGULAR") and isinstance(follows, list):
+                out.append(raw(f"{y.before}(SELECT count(*) = 1 FROM (SELECT 1 FROM ({render(flat(self.query(follows[1:-1]))).strip()}) LIMIT 2))"))
+                i += 1
+            elif is_word(y) and isinstance(follows, list) and not (is_word(y, "ANY", "SOME", "ALL", "SAMPLE") and (is_word(y, "SAMPLE") or is_word(follows[1], "SELECT"))):
                 i += self._call(x, i, out)
             elif is_word(y, *UNARY_NAMES) and not (out and is_op(out[-1], ".")):
                 out.append(y.with_text(UNARY_NAMES[y.text.upper()], "raw"))
@@ -215,7 +243,13 @@ class Rewriter:
                 out.append(y.with_text("STRING" if x[i + 2].text.upper() in ("1", "TEXT") else "BINARY"))
                 i += 2
             elif is_word(y, "ANY", "SOME", "ALL") and isinstance(follows, list) and is_word(follows[1], "SELECT"):
-                raise DialectError(f"line {y.line}: quantified comparison")
+                i += self._quantified(y, follows, out)
+            elif is_word(y, "SAMPLE") and isinstance(follows, list):
+                out.append(raw(f"{y.before}TABLESAMPLE ({render(flat(follows[1:-1])).strip()} PERCENT)"))
+                i += 1
+                if i + 2 < len(x) and is_word(x[i + 1], "SEED"):
+                    out.append(raw(f" REPEATABLE {render(flat(x[i + 2])).strip()}"))
+                    i += 2
             else:
                 out.append(y)
             i += 1
@@ -229,6 +263,20 @@ class Rewriter:
             got.insert(0, out.pop())
         return got
 
+    def _quantified(self, y: Token, sub: Tree, out: Tree) -> int:
+        """``a op ANY (q)`` and ``a op ALL (q)`` as EXISTS over q's one column; unknown comparisons fail ALL, as they leave it unknown."""
+        op = out.pop() if out else None
+        if not is_op(op, "=", "<>", "<", ">", "<=", ">="):
+            raise DialectError(f"line {y.line}: {y.text} without a comparison")
+        left = self._take(out)
+        a, q = render(flat(left)).strip(), render(flat(self.query(sub[1:-1]))).strip()
+        if is_word(y, "ALL"):
+            test = f"NOT EXISTS (SELECT 1 FROM ({q}) AS q(v) WHERE NOT coalesce({a} {op.text} q.v, false))"
+        else:
+            test = f"EXISTS (SELECT 1 FROM ({q}) AS q(v) WHERE {a} {op.text} q.v)"
+        out.append(raw(f"{_before(left) or ' '}{test}"))
+        return 1
+
     def _predicate(self, x: Tree, i: int, out: Tree) -> int:
         """STARTING [WITH] and CONTAINING: prefix, and substring whatever the case."""
         y, used, j = x[i], 1, i + 1

@@ -62,6 +62,9 @@ plan("legacy_int_division", legacy("SELECT l_orderkey, l_linenumber, CAST(l_orde
 plan("starting_containing", legacy("SELECT c_custkey, IIF(c_acctbal > 0, 'pos', 'neg') AS sign FROM customer WHERE c_name STARTING WITH 'Cust' AND c_mktsegment CONTAINING 'build' AND c_custkey ^= 3"), "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'pos' ELSE 'neg' END AS sign FROM customer WHERE starts_with(c_name, 'Cust') AND contains(lower(c_mktsegment), 'build') AND c_custkey <> 3")
 plan("legacy_with_ties", legacy("SELECT n_nationkey, n_regionkey FROM nation ORDER BY n_regionkey FETCH FIRST 3 ROWS WITH TIES"), "SELECT n_nationkey, n_regionkey FROM (SELECT *, rank() OVER (ORDER BY n_regionkey) AS r FROM nation) WHERE r <= 3")
 plan("legacy_extract_weekday", legacy("SELECT o_orderkey, CAST(EXTRACT(WEEKDAY FROM o_orderdate) AS BIGINT) AS wd, TRUNC(o_totalprice, 1) AS t FROM orders"), "SELECT o_orderkey, dayofweek(o_orderdate) AS wd, trunc(o_totalprice * 10) / 10 AS t FROM orders")
+plan("legacy_quantified", legacy("SELECT s_suppkey FROM supplier WHERE s_acctbal > ALL (SELECT c_acctbal / 2 FROM customer WHERE c_nationkey = 3) AND s_nationkey = ANY (SELECT FIRST 20 n_nationkey FROM nation ORDER BY n_nationkey)"), "SELECT s_suppkey FROM supplier WHERE s_acctbal > (SELECT max(c_acctbal) / 2 FROM customer WHERE c_nationkey = 3) AND s_nationkey < 20")
+plan("legacy_singular", legacy("SELECT r_name FROM region WHERE SINGULAR (SELECT 1 FROM nation WHERE n_nationkey = 7 AND n_nationkey > 0)"), "SELECT r_name FROM region")
+plan("legacy_connect_by", (lambda spark, d: (spark.sql("SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN NULL ELSE n_nationkey DIV 3 END AS boss FROM parquet.`" + d + "/nation.parquet`").createOrReplaceTempView("emp"), legacy("SELECT id, level FROM emp WHERE id <> 5 START WITH boss IS NULL CONNECT BY PRIOR id = boss")(spark, d))[1]), "WITH RECURSIVE e AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN NULL ELSE n_nationkey // 3 END AS boss FROM nation), h AS (SELECT id, 1 AS level FROM e WHERE boss IS NULL UNION ALL SELECT e.id, level + 1 FROM h JOIN e ON e.boss = h.id) SELECT id, level FROM h WHERE id <> 5")
 plan("bind_variables", lambda spark, d: (use_tables(spark, d, "orders"), spark.sql("SELECT o_orderkey FROM orders WHERE o_totalprice > :low AND o_orderstatus = :st", args={"low": 150000, "st": "F"}))[1], "SELECT o_orderkey FROM orders WHERE o_totalprice > 150000 AND o_orderstatus = 'F'")
 
 # procedures
