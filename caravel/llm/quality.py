@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import words
 
-#: Rows of the sample on which costs and selectivities are estimated.
-SAMPLE_ROWS = 400
+#: Rows, and characters a row, of the sample on which costs and selectivities are estimated.
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 1 << 15
 WINDOW = 8
 
 
@@ -145,10 +145,11 @@ def view(text: Column, ws: Column) -> View:
 def order_rules(df: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """(rule, seconds a row, share rejected), best rejection per cost first.
 
-    The sample holds at most ``sample_rows`` rows, of texts whose hash is smallest in the first rows read; a rule runs
-    twice on it, and the second, compiled run counts.
+    The sample is the first ``sample_rows`` rows that a read meets, each with at most SAMPLE_CHARS characters, so it is
+    bounded whatever the table; it decides the order alone.  A rule runs twice on it; the second, compiled run counts.
     """
-    sample = df.select(F.col(f"`{text}`").alias("t")).limit(sample_rows).select("t", words(F.col("t")).alias("w")).cache()
+    rows = df.select(F.substring(F.col(f"`{text}`"), 1, SAMPLE_CHARS).alias("t")).take(sample_rows)
+    sample = df.sparkSession.createDataFrame([(r.t,) for r in rows], "t string").repartition(1).select("t", words(F.col("t")).alias("w")).cache()
     try:
         n, found = max(1, sample.count()), []
         for rule in rules:
