@@ -44,7 +44,9 @@ HOT_MEANS = 4
 #: Bins of the sketches by which links are verified where a similarity is asked for.
 SKETCH = 128
 #: Relative costs: a probe is shuffled and sorted, a candidate is one comparison within a join.
-PROBE_COST, CANDIDATE_COST = 20.0, 1.0
+PROBE_COST, CANDIDATE_COST = 100.0, 1.0
+#: Where links are verified, pairs within so few bits are linked first; wider pairs count only between their components.
+FIRST_RADIUS = 5
 
 
 def fingerprint(text: str | None, shingle: int = 4, chunk: int = 1 << 15) -> int:
@@ -175,6 +177,8 @@ def _block_links(radius: int, similarity: float | None):
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         x, y = probe["fp"].to_numpy().view(np.uint64), home["fp"].to_numpy().view(np.uint64)
         near = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
+        if "comp" in pdf:
+            near &= probe["comp"].to_numpy()[:, None] != home["comp"].to_numpy()[None, :]
         if similarity is not None:
             a, b = (np.frombuffer(b"".join(p["sketch"]), "<u2").reshape(len(p), SKETCH) for p in (probe, home))
             i, j = np.nonzero(near)
@@ -197,20 +201,22 @@ def _block_links(radius: int, similarity: float | None):
 def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
     """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do.
 
-    With ``known`` sketches (node, sketch) only pairs of at least the ``similarity`` count.
+    With ``known`` sketches (node, sketch) only pairs of at least the ``similarity`` count.  Where nodes have a column
+    ``comp``, pairs of one component do not: they are connected already, so dense groups return few links.
     """
+    own_cols = ["node", "fp", *(["comp"] if "comp" in nodes.columns else [])]
     count = nodes.count()
     sample = np.array([r.fp for r in nodes.orderBy(F.xxhash64("fp")).limit(SAMPLE).select("fp").collect()], dtype=np.int64).view(np.uint64)
     parts = [(i, mask, t) for i, (mask, t) in enumerate(plan(sample, count, radius))]
     masked = lambda mask: F.col("fp").bitwiseAND(F.lit(_signed(mask)))
-    home = nodes.select("node", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("part"), masked(m).alias("value")) for i, m, _ in parts])).alias("k")).select("node", "fp", "k.part", "k.value")
+    home = nodes.select(*own_cols, F.explode(F.array(*[F.struct(F.lit(i).alias("part"), masked(m).alias("value")) for i, m, _ in parts])).alias("k")).select(*own_cols, "k.part", "k.value")
     # of two nodes the one with the smaller value in the partition probes; equal values meet in the index
     def around(i: int, mask: int, t: int):
         values = F.transform(F.array(*[F.lit(x) for x in _flips(mask, t)]), lambda x: F.struct(F.lit(i).alias("part"), masked(mask).bitwiseXOR(x).alias("value")))
         return F.filter(values, lambda s: s["value"] >= masked(mask))
 
     arrays = [around(*p) for p in parts]
-    probes = nodes.select("node", "fp", F.explode(F.concat(*arrays)).alias("k")).select("node", "fp", "k.part", "k.value")
+    probes = nodes.select(*own_cols, F.explode(F.concat(*arrays)).alias("k")).select(*own_cols, "k.part", "k.value")
     sizes = home.groupBy("part", "value").agg(F.count("*").alias("n"))
     mean = F.element_at(F.create_map(*[c for i, m, _ in parts for c in (F.lit(i), F.lit(HOT + HOT_MEANS * count / 2.0 ** m.bit_count()))]), F.col("part"))
     hot = cut(sizes.where(F.col("n") > mean))
@@ -220,7 +226,8 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     met = (F.col("h.part") == F.col("p.part")) & (F.col("h.value") == F.col("p.value"))
     close = F.bit_count(F.col("h.fp").bitwiseXOR(F.col("p.fp"))) <= radius
     once = (own < F.col("p.value")) | (F.col("p.node") < F.col("h.node"))
-    found = probes.alias("p").join(cold.alias("h"), met & close & once).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
+    apart = F.col("h.comp") != F.col("p.comp") if "comp" in own_cols else F.lit(True)
+    found = probes.alias("p").join(cold.alias("h"), met & close & once & apart).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
     if known is not None:
         found = _verified(found.distinct(), known, similarity)
     if not some_hot:
@@ -231,7 +238,7 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     pb = cut(asked.groupBy("part", "value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pb"))).join(there, ["part", "value"])
     block = lambda n: F.pmod(F.xxhash64("fp", F.lit("block")), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["part", "value", "i", "j", "node", "fp"]
+    cols = ["part", "value", "i", "j", *own_cols]
     left = home.join(pb, ["part", "value"]).withColumn("i", block("nb")).withColumn("j", all_of("pb")).select(*cols, F.lit(True).alias("home"))
     right = probes.join(pb, ["part", "value"]).withColumn("j", block("pb")).withColumn("i", all_of("nb")).select(*cols, F.lit(False).alias("home"))
     both = left.union(right)
@@ -263,7 +270,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if similarity is not None:
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         known = cut(sketches(rows, "id", "text", shingle).where("node is not null").groupBy("node").agg(F.min("sketch").alias("sketch")))
-    found = connected_components(links(nodes, radius, known, similarity))
+    found = links(nodes, radius if similarity is None else min(radius, FIRST_RADIUS), known, similarity)
+    if similarity is not None and radius > FIRST_RADIUS:
+        first = cut(connected_components(found))
+        apart = cut(nodes.join(first, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("comp")))
+        found = links(apart, radius, known, similarity).union(first.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    found = connected_components(found)
     of = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
