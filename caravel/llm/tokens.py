@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -88,37 +89,25 @@ class WordEncoder:
         self.n += len(sizes)
 
     def encode_all(self, texts: list[bytes], end: int | None = None) -> list[np.ndarray]:
-        """encode() of several texts, whose new words are learnt together."""
-        missing = {w for t in texts for w in t.split() if w not in self.index}
+        """The ids of several texts, each with ``end`` after it; new words are learnt together, and words looked up once."""
+        split = [t.split() for t in texts]
+        words = list(chain.from_iterable(split))
+        missing = set(words).difference(self.index)
         if missing:
             if len(self.index) + len(missing) > self.limit and self.index:
                 self.reset()
-            else:
-                self._learn(list(missing))
-        return [self.encode(t, end) for t in texts]
+                missing = set(words)
+            self._learn(list(missing))
+        i = np.array(list(map(self.index.__getitem__, words)), dtype=np.int64)
+        first, sizes = self.offset[i], self.offset[i + 1] - self.offset[i]
+        stops = np.cumsum(sizes)
+        ids = self.flat[np.repeat(first - stops + sizes, sizes) + np.arange(int(stops[-1]) if len(stops) else 0)]
+        bounds = np.concatenate([[0], stops])[np.cumsum([0, *map(len, split)])]
+        tail = np.array([] if end is None else [end], dtype=np.uint32)
+        return [np.concatenate([ids[a:b], tail]) if len(tail) else ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def encode(self, data: bytes, end: int | None = None) -> np.ndarray:
-        words = data.split()
-        index = self.index
-        try:
-            at = [index[w] for w in words]
-        except KeyError:
-            missing = list({w for w in words if w not in index})
-            if len(index) + len(missing) > self.limit and index:
-                self.reset()
-                index, missing = self.index, list(set(words))
-            self._learn(missing)
-            at = [index[w] for w in words]
-        i = np.array(at, dtype=np.int64)
-        first, sizes = self.offset[i], self.offset[i + 1] - self.offset[i]
-        total = int(sizes.sum())
-        out = np.empty(total + (end is not None), dtype=np.uint32)
-        if total:
-            stops = np.cumsum(sizes)
-            out[:total] = self.flat[np.repeat(first - stops + sizes, sizes) + np.arange(total)]
-        if end is not None:
-            out[total] = end
-        return out
+        return self.encode_all([data], end)[0]
 
 
 @lru_cache(maxsize=2)
