@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ TRAIN_DOCS, TRAIN_CHAINS, CHAIN = 160, 4, 48
 MAX_LANGUAGES = 256
 BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE, DECAY = 6, 64, 0.3, 1e-6
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 def features(word: str) -> list[int]:
@@ -74,33 +75,38 @@ class Crf:
     def __init__(self, labels: list[str], weights: np.ndarray, trans: np.ndarray):
         self.labels, self.weights, self.trans = labels, weights, trans
         self.index: dict[bytes, int] = {}
+        self.cores: dict[str, int] = {}
         self.scores, self.letter = np.zeros((1 << 14, len(labels)), np.float32), np.zeros(1 << 14, bool)
 
     def __reduce__(self):
         return Crf, (self.labels, self.weights, self.trans)
 
     def _learn(self, missing: list[bytes]) -> None:
-        words = [w.decode("utf-8").lower().strip(".,;:!?\"'()[]{}") for w in missing]
-        found = [features(w) for w in words]
-        flat = np.concatenate([np.array(f) for f in found])
-        first = np.cumsum([0, *map(len, found[:-1])])
-        n = len(self.index)
-        while n + len(words) > len(self.scores):
-            self.scores, self.letter = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.letter, np.zeros_like(self.letter)])
-        self.scores[n : n + len(words)] = np.add.reduceat(self.weights[flat], first, axis=0)
-        self.letter[n : n + len(words)] = [f != [0] for f in found]
-        self.index.update(zip(missing, range(n, n + len(words)), strict=True))
+        """Words that differ in case and punctuation alone share a row of scores."""
+        cores = [w.decode("utf-8").lower().strip(".,;:!?\"'()[]{}") for w in missing]
+        new = list(dict.fromkeys(c for c in cores if c not in self.cores))
+        if new:
+            found = [features(c) for c in new]
+            flat = np.fromiter(chain.from_iterable(found), dtype=np.int64)
+            first = np.cumsum([0, *map(len, found[:-1])])
+            n = len(self.cores)
+            while n + len(new) > len(self.scores):
+                self.scores, self.letter = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.letter, np.zeros_like(self.letter)])
+            self.scores[n : n + len(new)] = np.add.reduceat(self.weights[flat], first, axis=0)
+            self.letter[n : n + len(new)] = [f != [0] for f in found]
+            self.cores.update(zip(new, range(n, n + len(new)), strict=True))
+        self.index.update(zip(missing, map(self.cores.__getitem__, cores), strict=True))
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
-        missing = list({w for ws in split for w in ws if w not in self.index})
+        words = list(chain.from_iterable(split))
+        missing = set(words).difference(self.index)
         if missing:
-            if len(self.index) + len(missing) > CACHE_WORDS:
-                self.index = {}
-                missing = list({w for ws in split for w in ws})
-            if missing:
-                self._learn(missing)
-        return [np.array([self.index[w] for w in ws], dtype=np.int64) for ws in split]
+            if len(self.index) + len(missing) > CACHE_WORDS and self.index:
+                self.index, self.cores, missing = {}, {}, set(words)
+            self._learn(list(missing))
+        ids = np.array(list(map(self.index.__getitem__, words)), dtype=np.int64)
+        return np.split(ids, np.cumsum([len(x) for x in split])[:-1]) if split else []
 
     def marginals(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every text: its words' marginals (n, L) and whether each has a letter."""
