@@ -280,7 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(of, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 7, shingle: int = 5, similarity: float | None = 0.8) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 9, shingle: int = 5, similarity: float | None = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its near-duplicates; rows without an id stay."""
     gone = near_duplicates(docs, id_col, text_col, radius, shingle, similarity).where("component_id < id").select(F.col("id").alias("_s_id")).distinct()
     return docs.join(gone, docs[id_col].cast("long") == gone["_s_id"], "left_anti")
