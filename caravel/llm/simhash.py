@@ -12,6 +12,11 @@
    returns a spanning forest of its links, not the links.  So no bucket is collected whole and none is capped.
 6. Components of the links, by stars.
 
+Where a similarity is asked for (``similar_groups``), fingerprints only say which pairs are looked at first.  Every pair of
+at least that Jaccard similarity of shingle sets is found by prefix filtering: all sets are put in one order, and two
+sets of similarity t share one of the first n - ceil(t n) + 1 shingles of each.  Shingles that many documents of a
+bounded sample hold come last in the order, which decides the cost alone.
+
 Results in unusual cases: texts without a word (null, empty or blank) have fingerprint zero and are linked like any
 other; repeated rows of an id all get that id's component; rows with a null id get a fingerprint, no component and
 link nothing; an empty table gives an empty result; other columns are not read.
@@ -30,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop, stored
 from .graph import connected_components
 from .texthash import gram_hashes, word_hashes
 
@@ -45,8 +50,12 @@ HOT_MEANS = 4
 SKETCH = 128
 #: Relative costs: a probe is shuffled and sorted, a candidate is one comparison within a join.
 PROBE_COST, CANDIDATE_COST = 100.0, 1.0
-#: Where links are verified, pairs within so few bits are linked first; wider pairs count only between their components.
+#: Where a similarity is asked for, pairs within so few bits are linked first; the prefixes find all others.
 FIRST_RADIUS = 5
+#: Documents sampled for common shingles, how many of them hold a common one, and a bound on their number.
+COMMON_SAMPLE, COMMON, COMMON_MOST = 2000, 8, 1 << 16
+#: Ids of at most so many documents are broadcast to their texts.
+BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4, chunk: int = 1 << 15) -> int:
@@ -79,10 +88,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
-def sketch(text: str | None, shingle: int) -> bytes:
-    """One-permutation MinHash of the distinct shingles: SKETCH bins of 16 bits, 0 where a bin is empty."""
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles, of the whole sequence if that is shorter."""
     wh = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
-    g = np.unique(gram_hashes(wh, min(shingle, max(1, len(wh)))))
+    return np.unique(gram_hashes(wh, min(shingle, max(1, len(wh)))))
+
+
+def sketch(g: np.ndarray) -> bytes:
+    """One-permutation MinHash of a shingle set: SKETCH bins of 16 bits, 0 where a bin is empty."""
     out = np.zeros(SKETCH, dtype="<u2")
     if len(g):
         bins = (g >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
@@ -91,14 +104,21 @@ def sketch(text: str | None, shingle: int) -> bytes:
     return out.tobytes()
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(node, sketch) for every row."""
+def profiles(docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, fp, set, sketch) for every row of docs (id, text); ``set`` is 128 bits of hash of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sketch(t.as_py(), shingle) for t in batch.column(1)], pa.binary())], names=["node", "sketch"])
+            fps, keys, held = [], [], []
+            for t in batch.column(1):
+                text = t.as_py()
+                g = shingle_set(text, shingle)
+                fps.append(fingerprint(text, shingle))
+                keys.append(xxhash.xxh128_digest(g.tobytes()))
+                held.append(sketch(g))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.binary()), pa.array(held, pa.binary())], names=["id", "fp", "set", "sketch"])
 
-    return docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).mapInArrow(run, "node long, sketch binary")
+    return docs.mapInArrow(run, "id long, fp long, set binary, sketch binary")
 
 
 def similarities(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -258,26 +278,91 @@ def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(other, "b").where(similar("x", "y")).select("a", "b")
 
 
+def _texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """rows (id, text) with the columns of those nodes whose id is theirs."""
+    side = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+    return rows.join(side, rows["id"] == side["node"]).drop("id")
+
+
+def _common(texts: DataFrame, nodes: int, shingle: int) -> np.ndarray:
+    """Sorted hashes of shingles that COMMON or more documents of a bounded sample hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view(np.int64))], names=["h"])
+
+    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(1, nodes // COMMON_SAMPLE))) == 0)
+    counts = sample.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    return np.sort(np.array([r.h for r in counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64))
+
+
+def prefix(g: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 of n shingles in the order of all sets: common ones last, else by hash."""
+    n = len(g) - int(np.ceil(similarity * len(g) - 1e-9)) + 1 if len(g) else 0
+    late = np.isin(g, common)
+    return np.concatenate([g[~late], g[late]])[:n]
+
+
+def shared_prefixes(rows: DataFrame, nodes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): every pair of nodes (node, comp) of different components whose sets may have the similarity, none left out.
+
+    Of a pair, the larger set is looked up by its prefix in the smaller one's, which is shorter still.  A pair meets at
+    its first common shingle, and only so many shingles follow as both sets have behind it.
+    """
+    texts = _texts(rows, nodes)
+    common = _common(texts, nodes.count(), shingle)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            for i in range(0, batch.num_rows, 256):
+                sets = [shingle_set(t.as_py(), shingle) for t in batch.column(0)[i : i + 256]]
+                heads = [prefix(g, common, similarity) for g in sets]
+                k = np.array([len(x) for x in heads], dtype=np.int64)
+                n = np.repeat(np.array([len(g) for g in sets], dtype=np.int32), k)
+                at = np.arange(k.sum(), dtype=np.int32) - np.repeat(np.cumsum(k) - k, k).astype(np.int32)
+                cols = [np.concatenate(heads).view(np.int64), np.repeat(ids[i : i + 256], k), np.repeat(comps[i : i + 256], k), n, at]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "node", "comp", "n", "at"])
+
+    held, place = stored(texts.select("text", "node", "comp").mapInArrow(run, "h long, node long, comp long, n int, at int"), "prefixes")
+    c, least = F.col, similarity / (1 + similarity)
+    x, y = held.alias("x"), held.where(c("at") <= c("n") - F.ceil(2 * least * c("n") - 1e-9)).alias("y")
+    smaller = (c("y.n") < c("x.n")) | ((c("y.n") == c("x.n")) & (c("y.node") < c("x.node")))
+    rest = F.least(c("x.n") - c("x.at"), c("y.n") - c("y.at"))
+    enough = (c("y.n") >= similarity * c("x.n") - 1e-9) & (rest >= least * (c("x.n") + c("y.n")) - 1e-9)
+    met = x.join(y, (c("x.h") == c("y.h")) & (c("x.comp") != c("y.comp")) & smaller & enough)
+    found, _ = stored(met.select(c("x.node").alias("a"), c("y.node").alias("b")).distinct(), "met")
+    drop(rows.sparkSession, place)
+    return found
+
+
+def similar_groups(rows: DataFrame, nodes: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
+    """(node, component) of nodes (node, fp, set, sketch), linked by the similarity of the shingles of rows (id, text)."""
+    known = nodes.select("node", "sketch")
+    first = cut(connected_components(links(nodes.select("node", "fp"), min(radius, FIRST_RADIUS), known, similarity)))
+    apart = cut(nodes.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
+    found = _verified(shared_prefixes(rows, apart, shingle, similarity), known, similarity)
+    return connected_components(found.union(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, similarity: float | None = None) -> DataFrame:
     """(id, fp, component_id) for every row of ``docs``: component_id is the least id reachable over links.
 
-    With a ``similarity``, fingerprints within ``radius`` bits are candidates, and a link needs an estimated Jaccard
-    similarity of the shingles of at least that much.
+    With a ``similarity``, the links are the pairs whose sets of shingles have at least that Jaccard similarity, however
+    many bits apart; fingerprints within ``radius`` bits, FIRST_RADIUS at most, are only looked at first.
     """
-    prints = cut(fingerprints(docs, id_col, text_col, shingle))
-    nodes = cut(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("node")))
-    known = None
-    if similarity is not None:
+    if similarity is None:
+        prints, key = cut(fingerprints(docs, id_col, text_col, shingle)), "fp"
+        nodes = cut(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("node")))
+        found = connected_components(links(nodes, radius))
+    else:
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        known = cut(sketches(rows, "id", "text", shingle).where("node is not null").groupBy("node").agg(F.min("sketch").alias("sketch")))
-    found = links(nodes, radius if similarity is None else min(radius, FIRST_RADIUS), known, similarity)
-    if similarity is not None and radius > FIRST_RADIUS:
-        first = cut(connected_components(found))
-        apart = cut(nodes.join(first, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("comp")))
-        found = links(apart, radius, known, similarity).union(first.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    found = connected_components(found)
-    of = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(of, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+        prints, key = cut(profiles(rows, shingle)), "set"
+        nodes = cut(prints.where("id is not null").groupBy("set").agg(F.min("id").alias("node"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")))
+        found = similar_groups(rows, nodes, radius, shingle, similarity)
+    of = nodes.join(found, "node", "left").select(key, F.coalesce("component", "node").alias("component_id"))
+    return prints.join(of, key, "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 9, shingle: int = 5, similarity: float | None = 0.8) -> DataFrame:

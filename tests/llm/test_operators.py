@@ -136,6 +136,38 @@ def test_near_dedup_keeps_one_of_each_group(docs):
 
 
 # 2
+def edited(text, share):
+    return " ".join("e%d" % R.randrange(10**6) if R.random() < share else w for w in text.split())
+
+
+def brute_shingles(t, k=5):
+    w = words(t.lower())
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+@pytest.fixture(scope="module")
+def similar():
+    """Texts of all lengths in pairs on both sides of 0.8, with a passage that many hold, and the similarities of all pairs."""
+    vocab = ["v%d" % i for i in range(5000)]
+    line, texts = prose(40, vocab), []
+    for n in (6, 25, 60, 200, 600):
+        for share in (0.005, 0.01, 0.015, 0.02, 0.025, 0.03) * 3:
+            base = prose(n, vocab) + (" " + line if R.random() < 0.5 else "")
+            texts += [base, edited(base, share)]
+    sets = [brute_shingles(t) for t in texts]
+    return texts, {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(texts)) for b in range(a + 1, len(texts))}
+
+
+def test_prefixes_meet_every_similar_pair(spark, similar, monkeypatch):
+    monkeypatch.setattr(simhash, "COMMON", 5)
+    texts, alike = similar
+    close = {p for p, s in alike.items() if 0.8 <= s < 1}
+    assert sum(alike[p] < 0.9 for p in close) > 10
+    d = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    found = simhash.shared_prefixes(d, d.select(F.col("id").alias("node"), F.col("id").alias("comp")), 5, 0.8).collect()
+    assert close <= {(min(p), max(p)) for p in found} and len(found) < len(alike) / 20
+
+
 ITEM = "The train from Paris leaves at 7 and runs 120 km in 3 hours, how fast does it go on average today?"
 
 
