@@ -46,8 +46,8 @@ SAMPLE = 4096
 HOT, BLOCK = 64, 1024
 #: ... and than so many times the mean bucket.
 HOT_MEANS = 4
-#: Bins of the sketches by which links are verified where a similarity is asked for.
-SKETCH = 128
+#: Bins of the sketches that discard pairs whose estimate is by SLACK below the similarity asked for: 5.6 standard errors at 0.8.
+SKETCH, SLACK = 128, 0.2
 #: Relative costs: a probe is shuffled and sorted, a candidate is one comparison within a join.
 PROBE_COST, CANDIDATE_COST = 100.0, 1.0
 #: Where a similarity is asked for, pairs within so few bits are linked first; the prefixes find all others.
@@ -189,7 +189,10 @@ def _flips(mask: int, t: int) -> list[int]:
 
 
 def _block_links(radius: int, similarity: float | None):
-    """For a pair of blocks: the links between index and probing nodes, as a forest of (node, least node reached)."""
+    """For a pair of blocks: the links between index and probing nodes, as a forest of (node, least node reached).
+
+    With a similarity, which estimates cannot settle: for every node the pair with the least node that may be alike.
+    """
 
     def run(pdf):
         home, probe = pdf[pdf["home"]], pdf[~pdf["home"]]
@@ -204,7 +207,11 @@ def _block_links(radius: int, similarity: float | None):
             i, j = np.nonzero(near)
             for at in range(0, len(i), 1 << 15):
                 c = slice(at, at + (1 << 15))
-                near[i[c], j[c]] = similarities(a[i[c]], b[j[c]]) >= similarity
+                near[i[c], j[c]] = similarities(a[i[c]], b[j[c]]) >= similarity - SLACK
+            px, py, top = probe["node"].to_numpy(), home["node"].to_numpy(), np.iinfo(np.int64).max
+            hx, hy = near.any(axis=1), near.any(axis=0)
+            out = pd.DataFrame({"a": np.concatenate([px[hx], py[hy]]), "b": np.concatenate([np.where(near, py[None, :], top).min(axis=1)[hx], np.where(near, px[:, None], top).min(axis=0)[hy]])})
+            return out[out["a"] != out["b"]].drop_duplicates()
         lx, ly, top = probe["node"].to_numpy().copy(), home["node"].to_numpy().copy(), np.iinfo(np.int64).max
         while True:
             nx = np.minimum(lx, np.where(near, ly[None, :], top).min(axis=1))
@@ -221,8 +228,8 @@ def _block_links(radius: int, similarity: float | None):
 def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
     """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do.
 
-    With ``known`` sketches (node, sketch) only pairs of at least the ``similarity`` count.  Where nodes have a column
-    ``comp``, pairs of one component do not: they are connected already, so dense groups return few links.
+    With ``known`` sketches (node, sketch) they are pairs that may have the ``similarity``, to be verified; of hot
+    buckets, not all.  Where nodes have a column ``comp``, pairs of one component do not count.
     """
     own_cols = ["node", "fp", *(["comp"] if "comp" in nodes.columns else [])]
     count = nodes.count()
@@ -249,7 +256,7 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     apart = F.col("h.comp") != F.col("p.comp") if "comp" in own_cols else F.lit(True)
     found = probes.alias("p").join(cold.alias("h"), met & close & once & apart).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
     if known is not None:
-        found = _verified(found.distinct(), known, similarity)
+        found = _plausible(found.distinct(), known, similarity)
     if not some_hot:
         return found
     # a hot bucket of n nodes and p probes: ceil(n / BLOCK) x ceil(p / BLOCK) groups
@@ -267,11 +274,13 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     return found.union(forest)
 
 
-def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+def _plausible(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) that the sketches' estimates do not put far below the similarity."""
+
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
         a, b = (np.frombuffer(b"".join(v), "<u2").reshape(len(v), SKETCH) for v in (x, y))
-        return pd.Series(similarities(a, b) >= similarity)
+        return pd.Series(similarities(a, b) >= similarity - SLACK)
 
     one = known.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
     other = known.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
@@ -284,6 +293,39 @@ def _texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(side, rows["id"] == side["node"]).drop("id")
 
 
+def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of at least the Jaccard similarity, by the whole sets of shingles of rows (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in part.column(0)], pa.binary())], names=["node", "set"])
+
+    @F.pandas_udf("boolean")
+    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for p, q in zip(x, y, strict=True):
+            both = np.sort(np.concatenate([np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")]))
+            shared = int((both[1:] == both[:-1]).sum())
+            out.append(len(both) == 0 or shared / (len(both) - shared) >= similarity)
+        return pd.Series(out, dtype=bool)
+
+    asked, at = stored(pairs, "asked")
+    ids = cut(asked.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets, place = stored(_texts(rows, ids).select("text", "node").mapInArrow(run, "node long, set binary"), "sets")
+    one, other = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    found, _ = stored(asked.join(one, "a").join(other, "b").where(similar("x", "y")).select("a", "b"), "verified")
+    drop(rows.sparkSession, place)
+    drop(rows.sparkSession, at)
+    return found
+
+
+def _least(pairs: DataFrame) -> DataFrame:
+    """For every node of the pairs that with its least neighbour: so few are enough to connect most of a dense group."""
+    return pairs.union(pairs.select("b", "a")).groupBy("a").agg(F.min("b").alias("b"))
+
+
 def _common(texts: DataFrame, nodes: int, shingle: int) -> np.ndarray:
     """Sorted hashes of shingles that COMMON or more documents of a bounded sample hold."""
 
@@ -340,10 +382,16 @@ def shared_prefixes(rows: DataFrame, nodes: DataFrame, shingle: int, similarity:
 def similar_groups(rows: DataFrame, nodes: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
     """(node, component) of nodes (node, fp, set, sketch), linked by the similarity of the shingles of rows (id, text)."""
     known = nodes.select("node", "sketch")
-    first = cut(connected_components(links(nodes.select("node", "fp"), min(radius, FIRST_RADIUS), known, similarity)))
+    edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    close = links(nodes.select("node", "fp"), min(radius, FIRST_RADIUS), known, similarity)
+    first = cut(connected_components(_verified(_least(close), rows, shingle, similarity)))
     apart = cut(nodes.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
-    found = _verified(shared_prefixes(rows, apart, shingle, similarity), known, similarity)
-    return connected_components(found.union(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    pairs, _ = stored(_plausible(shared_prefixes(rows, apart, shingle, similarity), known, similarity), "pairs")
+    # least neighbours first: what they connect needs no comparison of all its pairs
+    most = cut(connected_components(_verified(_least(pairs), rows, shingle, similarity).union(edges(first))))
+    comp = lambda x: apart.join(most, "node", "left").select(F.col("node").alias(x), F.coalesce("component", "node").alias(f"of_{x}"))
+    rest = pairs.join(comp("a"), "a").join(comp("b"), "b").where("of_a <> of_b").select("a", "b")
+    return connected_components(_verified(rest, rows, shingle, similarity).union(edges(most)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, similarity: float | None = None) -> DataFrame:

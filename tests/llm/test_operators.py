@@ -168,6 +168,27 @@ def test_prefixes_meet_every_similar_pair(spark, similar, monkeypatch):
     assert close <= {(min(p), max(p)) for p in found} and len(found) < len(alike) / 20
 
 
+def test_near_dedup_compares_whole_sets(spark, similar):
+    texts, alike = similar
+    assert sum(0.6 < s < 0.8 for s in alike.values()) > 10
+    want = brute_components(range(len(texts)), [p for p, s in alike.items() if s >= 0.8])
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.id: r.component_id for r in simhash.near_duplicates(d, radius=9, shingle=5, similarity=0.8).collect()} == want
+
+
+def test_near_dedup_of_a_dense_group(spark, monkeypatch):
+    """Every pair path goes through the blocks, and comes out as brute force has it."""
+    monkeypatch.setattr(simhash, "HOT", 2)
+    monkeypatch.setattr(simhash, "HOT_MEANS", 0)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    base = prose(120, ["v%d" % i for i in range(3000)])
+    texts = [edited(base, 0.02) for _ in range(120)]
+    sets = [brute_shingles(t) for t in texts]
+    want = brute_components(range(120), [(a, b) for a in range(120) for b in range(a + 1, 120) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8])
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.id: r.component_id for r in simhash.near_duplicates(d, radius=9, shingle=5, similarity=0.8).collect()} == want
+
+
 ITEM = "The train from Paris leaves at 7 and runs 120 km in 3 hours, how fast does it go on average today?"
 
 
