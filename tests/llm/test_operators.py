@@ -212,6 +212,15 @@ def test_decontamination_shuffles_large_benchmarks(spark, monkeypatch):
     assert [r.item_id for r in decontaminate.contaminated(d, spark.createDataFrame([(5, ITEM)], "item_id long, text string")).collect()] == [5]
 
 
+def test_decontamination_of_names_at_sentence_starts(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more. How many does Tom have to eat?"
+    items = [tom, "What is the largest prime below?", "how does water boil up there", "What is pi?", "Name 7 seas", "Rain falls here. The cat sat on a mat. The dog ran off to town now with nothing else in its mouth but a stick of old wood and some very wet leaves"]
+    texts = [tom.replace("Tom", "Sam"), "x. " + tom.replace("Tom buys", "Sam buys").replace("5", "6"), "Question - What is the largest prime below?", '"so" what is the largest prime below', "He said. How does Water boil up there", "so what is pi", "what is e", "Name 8 seas", "we name 7 seas", items[5].replace("The dog", "That dog"), None, ""]
+    bench, d = spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(d, bench).collect()}
+    assert got == {(0, 0): "reparameterised", (2, 1): "exact", (3, 1): "exact", (4, 2): "exact", (5, 3): "exact", (8, 4): "exact", (9, 5): "exact"}
+
+
 # 3
 def test_licenses(spark):
     ready = licenses.compiled(licenses.TEMPLATES)
