@@ -4,7 +4,8 @@ A word's features are itself (lexicon), its prefixes and suffixes of up to three
 trigrams, hashed to BUCKETS weights a language; languages follow each other with learned transitions.  The chain is
 trained by AdaGrad on the exact log-likelihood, and forward-backward gives every word's marginal probabilities, so
 texts that switch languages get a label a word (``label_words``).  A text's language is the one with the largest sum of
-marginals over its words with a letter; the score is its share of that sum.  Chains hold at most CHAIN words.
+marginals over its words with a letter; the score is its share of that sum.  Chains hold at most CHAIN words.  A word of
+more than LONG characters, as in scripts without spaces, stands in a chain as runs of RUN characters, so that all of it counts.
 
 Training sees at most TRAIN_DOCS documents a language, each with at most TRAIN_CHAINS chains spread over its text, of
 documents with a language whose crc32(id as text) mod FOLDS is not HELD_OUT; nothing else of a document than text and
@@ -33,17 +34,32 @@ MAX_LANGUAGES = 256
 BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE, DECAY = 6, 64, 0.3, 1e-6
 CACHE_WORDS = 500_000
+#: Words of more than LONG characters, as in scripts without spaces, are dealt to chain positions of RUN characters each.
+LONG, RUN = 40, 8
 
 
 def features(word: str) -> list[int]:
     """Hashed features of a lower-cased word; words without a letter have the bias alone."""
     if not any(c.isalpha() for c in word):
         return [0]
-    s, n = f"^{word[:40]}$", min(len(word), 40) + 2
+    s, n = f"^{word}$", len(word) + 2
     keys = {"w" + word, *("p" + word[:k] for k in (1, 2, 3)), *("s" + word[-k:] for k in (1, 2, 3)), *(s[i : i + 2] for i in range(n - 1)), *(s[i : i + 3] for i in range(n - 2))}
     return [zlib.crc32(k.encode("utf-8", "surrogatepass")) % (BUCKETS - 1) + 1 for k in keys]
 
 
+def runs(word: bytes) -> list[bytes]:
+    """A word's chain positions: itself, or runs of RUN characters where it is longer than LONG."""
+    if len(word) <= LONG or len(text := word.decode("utf-8")) <= LONG:
+        return [word]
+    return [text[i : i + RUN].encode() for i in range(0, len(text), RUN)]
+
+
+def positions(data: bytes) -> list[bytes]:
+    """The chain positions of a text."""
+    ws = data.split()
+    return ws if max(map(len, ws), default=0) <= LONG else list(chain.from_iterable(map(runs, ws)))
+
+
 def forward_backward(em: np.ndarray, mask: np.ndarray, trans: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Node marginals (S, T, L) of chains with scores em (S, T, L), masked to their lengths, and the sum of pair marginals."""
     s, t, n = em.shape
@@ -98,7 +114,7 @@ class Crf:
         self.index.update(zip(missing, map(self.cores.__getitem__, cores), strict=True))
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
+        split = [positions(t) for t in texts]
         words = list(chain.from_iterable(split))
         missing = set(words).difference(self.index)
         if missing:
@@ -200,7 +216,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in batches:
             lang, chains = [], []
             for text, name in zip(batch.column(0), batch.column(1), strict=True):
-                ws = (text.as_py() or "").encode().split()
+                ws = positions((text.as_py() or "").encode())
                 n = -(-len(ws) // CHAIN)
                 for c in sorted({i * n // TRAIN_CHAINS for i in range(TRAIN_CHAINS)} if n else ()):
                     chains.append([w.decode().lower().strip(".,;:!?\"'()[]{}") for w in ws[c * CHAIN : (c + 1) * CHAIN]])
@@ -229,5 +245,11 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
 def label_words(text: str | None, model: Crf) -> list[tuple[str, str, float]]:
     """(word, language, probability) of every word of a text: the labels of code-switched text."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    (node, letter), words = model.marginals([data])[0], data.split()
-    return [(w.decode("utf-8", "surrogatepass"), model.labels[int(p.argmax())] if has else "und", float(p.max()) if has else 0.0) for w, p, has in zip(words, node, letter, strict=True)]
+    (node, letter), out, at = model.marginals([data])[0], [], 0
+    for w in data.split():
+        # a long word's probabilities are the mean of those of its positions with a letter
+        mine = slice(at, at + len(runs(w)))
+        at, has = mine.stop, letter[mine]
+        p = node[mine][has].mean(axis=0) if has.any() else None
+        out.append((w.decode("utf-8", "surrogatepass"), "und" if p is None else model.labels[int(p.argmax())], 0.0 if p is None else float(p.max())))
+    return out

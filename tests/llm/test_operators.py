@@ -265,6 +265,19 @@ def test_language_identification(spark):
     assert {r.lang_pred for r in langid.identify(d.limit(5), untrained).collect()} == {"und"}
 
 
+def test_language_of_text_without_spaces(spark):
+    """A title of one language before a long run of another does not decide; words of all lengths keep their place."""
+    make = {"xx": "abcdefg", "yy": "日本語文字列処理言"}
+    run = lambda lang, n: "".join(R.choice(make[lang]) for _ in range(n))
+    data = [(i, " ".join(run(lang, R.choice([5, 60])) for _ in range(30)), lang) for i, lang in enumerate(["xx", "yy"] * 60)]
+    mixed = [(1000, run("xx", 45) + run("yy", 900), None), (1001, run("yy", 45) + run("xx", 900), None)]
+    d = spark.createDataFrame(data + mixed, "doc_id long, text string, lang string")
+    model = langid.fit(d)
+    got = {r.doc_id: r for r in langid.identify(d, model).collect()}
+    assert [got[i].lang_pred for i in (1000, 1001)] == ["yy", "xx"] and got[1000].score > 0.8
+    assert [x[1] for x in langid.label_words(run("xx", 99) + " 12 " + run("yy", 7), model)] == ["xx", "und", "yy"]
+
+
 def test_forward_backward_is_exact():
     rng, n, t = np.random.default_rng(3), 3, 4
     em, trans = rng.normal(size=(1, t, n)), rng.normal(size=(n, n))
