@@ -22,8 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shards import AtomicFile, balanced_cuts, open_fs, shards_of, write_manifest
-from .tokens import END, default_vocabulary, encoder, texts_of
+from .shards import AtomicFile, balanced_cuts, dealt, open_fs, shard_count, shards_of, write_manifest
+from .tokens import END, default_vocabulary, encoder
 
 MAGIC = b"CARAVID1"
 ENTRY, ENTRY_SIZE = "<qBQIQ", 29
@@ -33,14 +33,16 @@ TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 256, 1 << 15, 1 << 16
 LEVEL = 3
 #: About so many bytes of text go to a shard.
 SHARD_BYTES = 32 << 20
+#: Bytes of frames that a task holds before it hands them on.
+FLUSH = 4 << 20
 
 
 def _width(vocabulary: str) -> int:
     return 2 if encoder(vocabulary).vocabulary_size <= 1 << 16 else 4
 
 
-def _ids(vocabulary: str, texts: list[bytes], width: int) -> list[bytes]:
-    return [x.astype(f"<u{width}").tobytes() for x in encoder(vocabulary).encode_all(texts, END)]
+def _ids(vocabulary: str, texts: pa.Array, width: int) -> Iterator[bytes]:
+    return (x.astype(f"<u{width}").tobytes() for x in encoder(vocabulary).encode_column(texts, END))
 
 
 def train(docs: DataFrame, vocabulary: str, size: int = DICTIONARY_BYTES) -> bytes:
@@ -50,7 +52,7 @@ def train(docs: DataFrame, vocabulary: str, size: int = DICTIONARY_BYTES) -> byt
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = _width(vocabulary)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[:TRAIN_BYTES] for x in _ids(vocabulary, texts_of(batch.column(1)), width)], pa.binary())], names=["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[:TRAIN_BYTES] for x in _ids(vocabulary, batch.column(1), width)], pa.binary())], names=["id", "ids"])
 
     rows = docs.where(F.col("id").isin(pick)).mapInArrow(run, "id long, ids binary").distinct().orderBy("id", "ids").limit(TRAIN_DOCS).collect() if pick else []
     samples = [bytes(r.ids) for r in rows]
@@ -81,17 +83,22 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     _save(folder, f"dictionary-{digest}.zdict", dictionary)
     weight = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
     total = rows.agg(F.sum(weight)).collect()[0][0] or 0
-    cuts = balanced_cuts(rows, "id", weight, max(1, -(-total // shard_bytes)))
+    cuts = balanced_cuts(rows, "id", weight, shard_count(total, shard_bytes))
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width, packer = _width(path), zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(load(folder, f"dictionary-{digest}.zdict")))
+        width, shared = _width(path), zstandard.ZstdCompressionDict(load(folder, f"dictionary-{digest}.zdict"))
+        shared.precompute_compress(level=LEVEL)
+        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
-                raw = _ids(path, texts_of(part.column(1)), width)
-                ids = part.column(0)
-                at = np.where(ids.is_valid().to_numpy(zero_copy_only=False), shards_of(cuts, ids.fill_null(0).to_numpy()), 0).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(at), ids, pa.array([len(x) // width for x in raw], pa.int64()), pa.array([packer.compress(x) for x in raw], pa.binary())], names=["shard", "id", "n", "frame"])
+            ids, at, frames, sizes, held = batch.column(0), 0, [], [], 0
+            shard = np.where(ids.is_valid().to_numpy(zero_copy_only=False), shards_of(cuts, ids.fill_null(0).to_numpy()), 0).astype(np.int32)
+            for i, raw in enumerate(_ids(path, batch.column(1), width)):
+                frames.append(packer.compress(raw))
+                sizes.append(len(raw) // width)
+                held += len(frames[-1])
+                if held > FLUSH or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(shard[at : i + 1]), ids[at : i + 1], pa.array(sizes, pa.int64()), pa.array(frames, pa.binary())], names=["shard", "id", "n", "frame"])
+                    at, frames, sizes, held = i + 1, [], [], 0
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, out, shard, index, tokens = ["shard", "name", "n_docs", "n_tokens", "bytes", "sha256", "dictionary"], None, None, [], 0
@@ -124,9 +131,8 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 
     width = _width(path)
     framed = rows.mapInArrow(compress, "shard int, id long, n long, frame binary")
-    n = min(len(cuts) + 1, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = framed.repartition(n, "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "n", "frame")
-    return write_manifest(dealt.mapInArrow(save, "shard long, name string, n_docs long, n_tokens long, bytes long, sha256 string, dictionary string"), folder)
+    sorted_rows = dealt(framed, len(cuts) + 1).sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "n", "frame")
+    return write_manifest(sorted_rows.mapInArrow(save, "shard long, name string, n_docs long, n_tokens long, bytes long, sha256 string, dictionary string"), folder)
 
 
 class Shard:
@@ -159,21 +165,24 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, digest, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 f = Shard(folder, name, load(folder, f"dictionary-{digest}.zdict"))
                 for at in range(0, f.n, 2048):
                     e = f.entries[at : at + 2048]
-                    before = int(f.entries["n"][:at].sum())
-                    start = before + np.concatenate([[0], np.cumsum(e["n"].astype(np.int64))[:-1]])
-                    crc = [zlib.crc32(f.ids(i).astype("<u4").tobytes()) for i in range(at, at + len(e))]
+                    n = e["n"].astype(np.int64)
+                    crc = [zlib.crc32(f.ids(i).astype("<u4")) for i in range(at, at + len(e))]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(e), shard, np.int64)), pa.array(e["id"].astype(np.int64), mask=e["null"].astype(bool)), pa.array(start), pa.array(e["n"].astype(np.int64)), pa.array(crc, pa.int64())],
-                        names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"],
+                        [pa.array(e["id"].astype(np.int64), mask=e["null"].astype(bool)), pa.array(base + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64())],
+                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
+                    base += int(n.sum())
                 f.close()
 
-    # a row a file: the running sum over the manifest is a window over few rows
-    base = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    n = max(1, min(manifest.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rows = manifest.select("shard", "name", "dictionary").repartition(n).mapInArrow(run, "shard long, doc_id long, start long, n_tokens long, ids_crc32 long")
-    return rows.join(base, "shard").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+    # a row a file, MAX_SHARDS at most: the running sum over the manifest is a window over few rows, and a task reads a file
+    base = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = manifest.select("shard", "name", "dictionary", base.alias("base"))
+    return dealt(files, max(1, _shards(manifest))).select("name", "dictionary", "base").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def _shards(manifest: DataFrame) -> int:
+    return (manifest.agg(F.max("shard")).collect()[0][0] or 0) + 1

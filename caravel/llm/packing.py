@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
-from .tokens import END, default_vocabulary, encoder, texts_of
+from .tokens import END, default_vocabulary, encoder
 
 CAPACITY = 4096
+#: Ids that a task holds before it hands pieces on.
+FLUSH = 1 << 20
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -35,13 +37,17 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part, rows = batch.slice(i, 64), []
-                for key, ids in zip(part.column(0).to_pylist(), enc.encode_all(texts_of(part.column(1)), END), strict=True):
-                    ids = ids.astype("<u4", copy=False)
-                    for at in range(0, len(ids), capacity):
-                        raw = ids[at : at + capacity].tobytes()
-                        rows.append((key, at, len(raw) // 4, zlib.crc32(raw), len(ids), raw))
+            rows, held = [], 0
+            for key, ids in zip(batch.column(0).to_pylist(), enc.encode_column(batch.column(1), END), strict=True):
+                ids = ids.astype("<u4", copy=False)
+                for at in range(0, len(ids), capacity):
+                    raw = ids[at : at + capacity]
+                    rows.append((key, at, len(raw), zlib.crc32(raw), len(ids), raw.tobytes() if with_ids else None))
+                    held += len(raw)
+                if held > FLUSH or len(rows) > FLUSH // 256:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
                 yield batch_of(rows)
 
     def batch_of(rows: list) -> pa.RecordBatch:

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shards import AtomicFile, balanced_cuts, open_fs, shards_of, write_manifest
+from .common import cut, with_aggregates
+from .shards import AtomicFile, balanced_cuts, dealt, open_fs, shard_count, shards_of, write_manifest
 
 #: Files are rolled at so many compressed bytes; a shard holds about so many bytes of payload.
 ROLL_BYTES, SHARD_BYTES = 16 << 20, 16 << 20
@@ -70,17 +71,16 @@ def member(page_id: int, url: str | None, payload: bytes, refers_to: int | None)
 
 
 def revisits(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(id, sha, refers_to) of rows (id, sha, bytes) whose payload a larger id has too; the largest is aggregated first."""
-    large = rows.where(F.col("bytes") >= min_bytes)
-    top = large.groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").select("sha", "top")
-    return large.select("id", "sha").join(top, "sha").where("id < top").groupBy("id", "sha").agg(F.max("top").alias("refers_to"))
+    """(id, sha, refers_to) of rows (id, sha, bytes) whose payload a larger id has too; a very common payload's largest id is broadcast."""
+    large = cut(rows.where(F.col("bytes") >= min_bytes).select("id", "sha"))
+    return with_aggregates(large, ["sha"], [F.max("id").alias("refers_to")], "id").where("id < refers_to").distinct()
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Writes the archives and returns the manifest (shard, part, name, n_records, bytes, sha256)."""
     weight = F.coalesce(F.octet_length(F.col(payload_col)), F.lit(0)) + 512
     total = pages.agg(F.sum(weight)).collect()[0][0] or 0
-    cuts = balanced_cuts(pages, id_col, weight, max(1, -(-total // shard_bytes)))
+    cuts = balanced_cuts(pages, id_col, weight, shard_count(total, shard_bytes))
     cut_at = F.pandas_udf(lambda ids: pd.Series(shards_of(cuts, ids.to_numpy())), "int")
     schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("name", pa.string()), ("n_records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
@@ -121,10 +121,9 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     refs = revisits(rows.select("id", "sha", F.octet_length("payload").alias("bytes")), min_bytes)
     # payloads are dealt once: what a page refers to comes to its shard as a row of its own
     both = rows.select("id", "sha", F.lit(True).alias("is_page"), "url", "payload", F.lit(None).cast("long").alias("refers_to")).unionByName(refs.select("id", "sha", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to"))
-    n = min(len(cuts) + 1, max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keys = ["shard", "id", "sha", "is_page"]
-    dealt = both.withColumn("shard", cut_at("id")).select(*keys, "url", "payload", "refers_to").repartition(n, "shard").sortWithinPartitions(*keys, "url")
-    return write_manifest(dealt.mapInArrow(save, "shard int, part int, name string, n_records long, bytes long, sha256 string"), folder)
+    sorted_rows = dealt(both.withColumn("shard", cut_at("id")).select(*keys, "url", "payload", "refers_to"), len(cuts) + 1).sortWithinPartitions(*keys, "url")
+    return write_manifest(sorted_rows.mapInArrow(save, "shard int, part int, name string, n_records long, bytes long, sha256 string"), folder)
 
 
 def records(data) -> Iterator[tuple[dict[str, str], bytes]]:

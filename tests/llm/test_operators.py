@@ -7,11 +7,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from caravel.llm import chat, decontaminate, idfiles, langid, licenses, packing, quality, simhash, substring, texthash, tokens, warc
+from caravel.llm import chat, decontaminate, idfiles, langid, licenses, packing, quality, shards, simhash, substring, texthash, tokens, warc
 from caravel.llm.common import scratch
 from caravel.llm.graph import connected_components
 
@@ -379,20 +380,40 @@ def test_quality(spark, docs, rows, none):
 # 8 and 10
 @pytest.fixture(scope="module")
 def encoder():
-    return tokens.WordEncoder(tokens.default_vocabulary(), cache_words=500)
+    return tokens.WordEncoder(tokens.default_vocabulary(), cache_units=500, chunk=3000)
 
 
-ODD = ["it's I'M don't 12,345. ... İstanbul Σίσυφος ΟΔΟΣ, é é́ a\xa0b c\x1fd <|endoftext|> x<|endoftext|>y ǅ ﬁ, 한국어. 한 ,. a,. b.,", "\x00 \x01a", "'s 't", "ſ ß ẞ. Ⅷ, ª"]
+ODD = ["it's I'M don't 12,345. ... İstanbul Σίσυφος ΟΔΟΣ, é é́ a\xa0b c\x1fd <|endoftext|> x<|endoftext|>y ǅ ﬁ, 한국어. 한 ,. a,. b.,", "\x00 \x01a", "'s 't", "ſ ß ẞ. Ⅷ, ª", "2×3÷4 É×É,, ÀÇ.Ñ ŽĲŐ,ȿ ŉȺȾ. İI H̱ É <|ENDOFTEXT|> a<|b |<| x¡y ½ ²a", "\x1c\x1d a\x85b c\u2028d e\u3000f ## ##a1b22,,.3 %%%", "ab12CD,.EF", " "]
 
 
 def test_encoder_equals_the_library(encoder):
     texts = [t or "" for t in TEXTS] + ODD + [prose(R.randint(1, 50)) + R.choice([".", ",", "!", "é"]) for _ in range(100)]
     want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [encoder.encode(t.encode()).tolist() for t in texts] == want
-    got = []
-    for i in range(0, len(texts), 7):
-        got += encoder.encode_all([t.encode() for t in texts[i : i + 7]])
-    assert [x.tolist() for x in got] == want
+    for size in (1, 7, len(texts)):
+        got = [x.tolist() for i in range(0, len(texts), size) for x in encoder.encode_column(pa.array([None if t == "" else t for t in texts[i : i + size]], pa.string()), 2)]
+        assert got == [[*x, 2] for x in want]
+    assert encoder.by_units and list(encoder.encode_column(pa.array([], pa.string()))) == []
+
+
+def test_encoder_with_other_rules():
+    """A vocabulary whose words are not independent gets whole texts."""
+    import public_tokenizers
+
+    other = tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [t or "" for t in TEXTS[:12]] + ODD
+    assert not other.by_units
+    assert [x.tolist() for x in other.encode_column(pa.array(texts, pa.string()))] == [e.ids for e in other.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("keys", [list(range(5000)), [2**63 - 1, -(2**63), 0, 1] * 50 + list(range(10**12, 10**12 + 900)), [7] * 100, [None, 3]])
+def test_balanced_cuts(spark, keys):
+    d = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3)
+    cuts = shards.balanced_cuts(d, "k", F.lit(10), 8)
+    assert cuts == sorted(set(cuts)) and len(cuts) < 8
+    size = Counter(shards.shard_of(cuts, k) for k in keys if k is not None)
+    most = max(Counter(keys).values())
+    assert max(size.values()) <= 2 * len(keys) / 8 + most
 
 
 def test_packing(docs, rows, none, encoder):

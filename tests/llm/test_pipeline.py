@@ -51,7 +51,7 @@ def test_stages(spark, tmp_path):
         w = " ".join(t.lower().split())
         assert not any(" ".join(b) in w for b in bench if len(b) > 5)
     enc = tokens.encoder(tokens.default_vocabulary())
-    assert sum(r.length for r in frames["packing"].collect()) == sum(len(enc.encode(t.encode(), 2)) for t in text["decontamination"].values())
+    assert sum(r.length for r in frames["packing"].collect()) == sum(len(enc.encode((t or "").encode(), 2)) for t in text["decontamination"].values())
 
 
 def test_run(spark):
