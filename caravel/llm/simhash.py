@@ -12,10 +12,8 @@
    returns a spanning forest of its links, not the links.  So no bucket is collected whole and none is capped.
 6. Components of the links, by stars.
 
-Where a similarity is asked for (``similar_groups``), fingerprints only say which pairs are looked at first.  Every pair of
-at least that Jaccard similarity of shingle sets is found by prefix filtering: all sets are put in one order, and two
-sets of similarity t share one of the first n - ceil(t n) + 1 shingles of each.  Shingles that many documents of a
-bounded sample hold come last in the order, which decides the cost alone.
+Where a similarity is asked for (``similar_groups``), fingerprints only say which pairs are looked at first; setjoin.py
+finds every other pair of at least that Jaccard similarity of shingle sets.
 
 Results in unusual cases: texts without a word (null, empty or blank) have fingerprint zero and are linked like any
 other; repeated rows of an id all get that id's component; rows with a null id get a fingerprint, no component and
@@ -35,9 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, stored
+from .common import cut, stored
 from .graph import connected_components
-from .texthash import gram_hashes, word_hashes
+from .setjoin import shingle_set, similar_pairs, verified
 
 BITS = 64
 #: Fingerprints sampled for correlations and candidate counts; a bound on what the driver holds.
@@ -52,10 +50,6 @@ SKETCH, SLACK = 128, 0.2
 PROBE_COST, CANDIDATE_COST = 100.0, 1.0
 #: Where a similarity is asked for, pairs within so few bits are linked first; the prefixes find all others.
 FIRST_RADIUS = 5
-#: Documents sampled for common shingles, how many of them hold a common one, and a bound on their number.
-COMMON_SAMPLE, COMMON, COMMON_MOST = 2000, 8, 1 << 16
-#: Ids of at most so many documents are broadcast to their texts.
-BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4, chunk: int = 1 << 15) -> int:
@@ -88,12 +82,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles, of the whole sequence if that is shorter."""
-    wh = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
-    return np.unique(gram_hashes(wh, min(shingle, max(1, len(wh)))))
-
-
 def sketch(g: np.ndarray) -> bytes:
     """One-permutation MinHash of a shingle set: SKETCH bins of 16 bits, 0 where a bin is empty."""
     out = np.zeros(SKETCH, dtype="<u2")
@@ -287,111 +275,26 @@ def _plausible(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFra
     return pairs.join(one, "a").join(other, "b").where(similar("x", "y")).select("a", "b")
 
 
-def _texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """rows (id, text) with the columns of those nodes whose id is theirs."""
-    side = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
-    return rows.join(side, rows["id"] == side["node"]).drop("id")
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of at least the Jaccard similarity, by the whole sets of shingles of rows (id, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in part.column(0)], pa.binary())], names=["node", "set"])
-
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y, strict=True):
-            both = np.sort(np.concatenate([np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")]))
-            shared = int((both[1:] == both[:-1]).sum())
-            out.append(len(both) == 0 or shared / (len(both) - shared) >= similarity)
-        return pd.Series(out, dtype=bool)
-
-    asked, at = stored(pairs, "asked")
-    ids = cut(asked.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets, place = stored(_texts(rows, ids).select("text", "node").mapInArrow(run, "node long, set binary"), "sets")
-    one, other = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    found, _ = stored(asked.join(one, "a").join(other, "b").where(similar("x", "y")).select("a", "b"), "verified")
-    drop(rows.sparkSession, place)
-    drop(rows.sparkSession, at)
-    return found
-
-
 def _least(pairs: DataFrame) -> DataFrame:
     """For every node of the pairs that with its least neighbour: so few are enough to connect most of a dense group."""
     return pairs.union(pairs.select("b", "a")).groupBy("a").agg(F.min("b").alias("b"))
 
 
-def _common(texts: DataFrame, nodes: int, shingle: int) -> np.ndarray:
-    """Sorted hashes of shingles that COMMON or more documents of a bounded sample hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view(np.int64))], names=["h"])
-
-    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(1, nodes // COMMON_SAMPLE))) == 0)
-    counts = sample.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
-    return np.sort(np.array([r.h for r in counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64))
-
-
-def prefix(g: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
-    """The first n - ceil(similarity n) + 1 of n shingles in the order of all sets: common ones last, else by hash."""
-    n = len(g) - int(np.ceil(similarity * len(g) - 1e-9)) + 1 if len(g) else 0
-    late = np.isin(g, common)
-    return np.concatenate([g[~late], g[late]])[:n]
-
-
-def shared_prefixes(rows: DataFrame, nodes: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): every pair of nodes (node, comp) of different components whose sets may have the similarity, none left out.
-
-    Of a pair, the larger set is looked up by its prefix in the smaller one's, which is shorter still.  A pair meets at
-    its first common shingle, and only so many shingles follow as both sets have behind it.
-    """
-    texts = _texts(rows, nodes)
-    common = _common(texts, nodes.count(), shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
-            for i in range(0, batch.num_rows, 256):
-                sets = [shingle_set(t.as_py(), shingle) for t in batch.column(0)[i : i + 256]]
-                heads = [prefix(g, common, similarity) for g in sets]
-                k = np.array([len(x) for x in heads], dtype=np.int64)
-                n = np.repeat(np.array([len(g) for g in sets], dtype=np.int32), k)
-                at = np.arange(k.sum(), dtype=np.int32) - np.repeat(np.cumsum(k) - k, k).astype(np.int32)
-                cols = [np.concatenate(heads).view(np.int64), np.repeat(ids[i : i + 256], k), np.repeat(comps[i : i + 256], k), n, at]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "node", "comp", "n", "at"])
-
-    held, place = stored(texts.select("text", "node", "comp").mapInArrow(run, "h long, node long, comp long, n int, at int"), "prefixes")
-    c, least = F.col, similarity / (1 + similarity)
-    x, y = held.alias("x"), held.where(c("at") <= c("n") - F.ceil(2 * least * c("n") - 1e-9)).alias("y")
-    smaller = (c("y.n") < c("x.n")) | ((c("y.n") == c("x.n")) & (c("y.node") < c("x.node")))
-    rest = F.least(c("x.n") - c("x.at"), c("y.n") - c("y.at"))
-    enough = (c("y.n") >= similarity * c("x.n") - 1e-9) & (rest >= least * (c("x.n") + c("y.n")) - 1e-9)
-    met = x.join(y, (c("x.h") == c("y.h")) & (c("x.comp") != c("y.comp")) & smaller & enough)
-    found, _ = stored(met.select(c("x.node").alias("a"), c("y.node").alias("b")).distinct(), "met")
-    drop(rows.sparkSession, place)
-    return found
-
-
 def similar_groups(rows: DataFrame, nodes: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
     """(node, component) of nodes (node, fp, set, sketch), linked by the similarity of the shingles of rows (id, text)."""
     known = nodes.select("node", "sketch")
     edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))
     close = links(nodes.select("node", "fp"), min(radius, FIRST_RADIUS), known, similarity)
-    first = cut(connected_components(_verified(_least(close), rows, shingle, similarity)))
+    first = cut(connected_components(verified(_least(close), rows, shingle, similarity)))
     apart = cut(nodes.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
-    pairs, _ = stored(_plausible(shared_prefixes(rows, apart, shingle, similarity), known, similarity), "pairs")
+    pairs, held = similar_pairs(rows, apart, shingle, similarity)
+    pairs, _ = stored(_plausible(pairs, known, similarity), "pairs")
     # least neighbours first: what they connect needs no comparison of all its pairs
-    most = cut(connected_components(_verified(_least(pairs), rows, shingle, similarity).union(edges(first))))
+    some = verified(_least(pairs), rows, shingle, similarity).union(edges(first))
+    most = cut(connected_components(some.union(held) if held is not None else some))
     comp = lambda x: apart.join(most, "node", "left").select(F.col("node").alias(x), F.coalesce("component", "node").alias(f"of_{x}"))
     rest = pairs.join(comp("a"), "a").join(comp("b"), "b").where("of_a <> of_b").select("a", "b")
-    return connected_components(_verified(rest, rows, shingle, similarity).union(edges(most)))
+    return connected_components(verified(rest, rows, shingle, similarity).union(edges(most)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, similarity: float | None = None) -> DataFrame:

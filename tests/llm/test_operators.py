@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from caravel.llm import chat, decontaminate, idfiles, langid, licenses, packing, quality, shards, simhash, substring, texthash, tokens, warc
+from caravel.llm import chat, decontaminate, idfiles, langid, licenses, packing, quality, setjoin, shards, simhash, substring, texthash, tokens, warc
 from caravel.llm.common import scratch
 from caravel.llm.graph import connected_components
 
@@ -159,14 +159,49 @@ def similar():
     return texts, {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(texts)) for b in range(a + 1, len(texts))}
 
 
-def test_prefixes_meet_every_similar_pair(spark, similar, monkeypatch):
-    monkeypatch.setattr(simhash, "COMMON", 5)
+@pytest.mark.parametrize("hot", [64, 3])
+def test_every_similar_pair_is_met(spark, similar, monkeypatch, hot):
+    """Alike pairs are among the pairs, or connected by the links where shingles are held against pivots."""
+    monkeypatch.setattr(setjoin, "COMMON", 5)
+    monkeypatch.setattr(setjoin, "HOT", hot)
     texts, alike = similar
     close = {p for p, s in alike.items() if 0.8 <= s < 1}
     assert sum(alike[p] < 0.9 for p in close) > 10
     d = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
-    found = simhash.shared_prefixes(d, d.select(F.col("id").alias("node"), F.col("id").alias("comp")), 5, 0.8).collect()
-    assert close <= {(min(p), max(p)) for p in found} and len(found) < len(alike) / 20
+    pairs, links = setjoin.similar_pairs(d, d.select(F.col("id").alias("node"), F.col("id").alias("comp")), 5, 0.8)
+    found, held = {(min(p), max(p)) for p in pairs.collect()}, [tuple(x) for x in links.collect()] if links is not None else []
+    of = brute_components(range(len(texts)), held)
+    assert all(alike[min(p), max(p)] >= 0.8 for p in held)
+    assert all(p in found or of[p[0]] == of[p[1]] for p in close) and len(found) < len(alike) / 10
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_a_group_on_both_sides_of_the_similarity(spark, monkeypatch, rounds):
+    """Copies of two texts by words replaced, put in and left out, with lines that others hold: as brute force has it."""
+    monkeypatch.setattr(setjoin, "HOT", 4)
+    monkeypatch.setattr(setjoin, "ROUNDS", rounds)
+    monkeypatch.setattr(setjoin, "COMMON", 5)
+    rng, vocab = random.Random(3), ["v%d" % i for i in range(3000)]
+    first, line = [rng.choice(vocab) for _ in range(130)], [rng.choice(vocab) for _ in range(25)]
+    second = first[:65] + [rng.choice(vocab) for _ in range(60)]
+    texts = [" ".join(line), " ".join(line * 2)]
+    for i in range(160):
+        out = []
+        for w in second if i % 4 == 0 else first:
+            x = rng.random()
+            out += [] if x < 0.002 else [w, rng.choice(vocab)] if x < 0.004 else [rng.choice(vocab)] if x < 0.006 + 0.01 * (i % 3) else [w]
+        texts.append(" ".join(out[: len(out) - rng.choice([0, 0, 0, 0, 6, 12])] + rng.choice([[], [], [], line])))
+    sets, n = [brute_shingles(t) for t in texts], len(texts)
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(n) for b in range(a + 1, n)}
+    want = brute_components(range(n), [p for p, x in alike.items() if x >= 0.8])
+    assert 10 < len(set(want.values())) < n - 30 and sum(0.7 < x < 0.8 for x in alike.values()) > 300
+    d = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    pairs, links = setjoin.similar_pairs(d, d.select(F.col("id").alias("node"), F.col("id").alias("comp")), 5, 0.8)
+    met = [(min(p), max(p)) for p in pairs.collect()]
+    got = brute_components(range(n), [p for p in met if alike[p] >= 0.8] + ([tuple(x) for x in links.collect()] if links is not None else []))
+    assert got == want
+    print(rounds, len(met), len(alike))
+    assert {r.id: r.component_id for r in simhash.near_duplicates(d.withColumnRenamed("id", "doc_id"), radius=9, shingle=5, similarity=0.8).collect()} == want
 
 
 def test_near_dedup_compares_whole_sets(spark, similar):
