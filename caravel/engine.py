@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from pathlib import Path
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .catalog import ddl
 from .catalog.extract import Catalog
@@ -14,12 +16,13 @@ from .catalog.model import Table
 from .config import Config
 from .dialect import parser as p
 from .dialect.interpreter import Interpreter
-from .dialect.tokens import DialectError, Token
+from .dialect.tokens import DialectError, Token, render, tokenize
 from .dialect.translate import Script, Translation, literal, query_text, set_query, translate, translate_text
 from .operators import constraints, dml
 from .operators.sequences import Sequences
-from .operators.triggers import Hook, compile_trigger
+from .operators.triggers import Hook, apply_hooks, compile_trigger
 from .script import run as scripts
+from .session import checkpointed
 from .sources import jdbc, loader
 
 
@@ -97,15 +100,68 @@ class Engine:
 
     def query(self, text: str) -> DataFrame:
         """A query of the dialect as a DataFrame."""
+        if re.search(r"(?i)\bGEN_ID\b|\bNEXT\s+VALUE\s+FOR\b", text):
+            text = render(self._valued(tokenize(text)))
         found = [t for t in translate(text, self.integers) if t.kind != "NOTE"]
         if len(found) != 1 or found[0].kind != "QUERY":
             raise DialectError("one query expected")
         return self.spark.sql(found[0].sql)
 
-    def change(self, tokens: list[Token], prepare: Callable[[str], str] | None = None) -> None:
-        """A change of rows, copy-on-write, with the row hooks of its table where it inserts."""
-        name, rows = dml.plan_statement(self.spark, tokens)
-        dml.replace_table(self.spark, name, rows)
+    def change(self, tokens: list[Token]) -> None:
+        """A change of rows, copy-on-write, with the active row hooks of its table around it.
+
+        BEFORE hooks change the rows, AFTER hooks see them as they are written; what hooks insert into other tables goes
+        there with those tables' own hooks.
+        """
+        tokens = self._valued(tokens)
+        name = dml.target_table(tokens)
+        if not self._hooks(name):
+            name, rows = dml.plan_statement(self.spark, tokens)
+            dml.replace_table(self.spark, name, rows)
+            return
+        c = dml.plan_change(self.spark, tokens)
+        self._apply(c.table, c.event, c.kept, c.rows)
+
+    def _hooks(self, table: str) -> list[Hook]:
+        return [h for h in self.hooks if h.active and h.table == table]
+
+    def _apply(self, table: str, event: str, kept: DataFrame, rows: DataFrame, depth: int = 0) -> None:
+        if depth > 16:
+            raise DialectError(f"hooks of {table} set each other off")
+        hooks = self._hooks(table)
+        rows, before = apply_hooks(rows, hooks, event, "BEFORE", self.sequences)
+        rows = checkpointed(rows)
+        _, after = apply_hooks(rows, hooks, event, "AFTER", self.sequences)
+        sides = [(t, checkpointed(df)) for found in (before, after) for t, dfs in found.items() for df in dfs]
+        dml.replace_table(self.spark, table, dml.insert(kept, rows.select("new.*")) if event != "DELETE" else kept)
+        for t, df in sides:
+            target = self.spark.table(t)
+            self._apply(t, "INSERT", target, dml.insert(target.limit(0), df).select(F.struct(*target.columns).alias("new")), depth + 1)
+
+    def _valued(self, tokens: list[Token]) -> list[Token]:
+        """GEN_ID and NEXT VALUE FOR with the values that they have: of statements without rows of their own, and of step 0."""
+        out, i = [], 0
+        rows = any(t.kind == "word" and t.text.upper() == "FROM" and tokens[j + 1].text.upper() != "RDB$DATABASE" for j, t in enumerate(tokens[:-1]))
+        word = lambda j, w: j < len(tokens) and tokens[j].kind == "word" and tokens[j].text.upper() == w
+        while i < len(tokens):
+            t, step, name, used = tokens[i], 1, None, 4
+            if word(i, "NEXT") and word(i + 1, "VALUE") and word(i + 2, "FOR"):
+                name = tokens[i + 3].text
+            elif word(i, "GEN_ID") and i + 5 < len(tokens) and tokens[i + 1].text == "(":
+                end = next(j for j in range(i, len(tokens)) if tokens[j].text == ")")
+                name, text, used = tokens[i + 2].text, "".join(x.text for x in tokens[i + 4 : end]), end + 1 - i
+                if not text.lstrip("-").isdigit():
+                    raise DialectError(f"line {t.line}: GEN_ID by {text}")
+                step = int(text)
+            if name is None:
+                out.append(t)
+                i += 1
+                continue
+            if rows and step:
+                raise DialectError(f"line {t.line}: a sequence that advances for every row of a query; number the rows by Sequences.assign")
+            out.append(Token("number", str(self.sequences.advance(name.strip('"'), step)), t.line, t.before or " "))
+            i += used
+        return out
 
     def call(self, name: str, arguments: Mapping[str, object] | None = None) -> DataFrame:
         """A procedure's rows: by one query, else a SQL script, else statement by statement."""

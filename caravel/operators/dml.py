@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,11 +85,18 @@ def multi_insert(rows: DataFrame, branches: Sequence[tuple[str, str, Mapping[str
 
 
 def replace_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """Puts rows in a session-catalog table's stead: they are written whole under another name first."""
-    temp = f"{name}_{uuid.uuid4().hex[:8]}"
-    rows.write.saveAsTable(temp)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {temp} RENAME TO {name}")
+    """Puts rows in a session-catalog table's stead.
+
+    They are written whole under another name first; then the names are exchanged by two renames, and the old rows go
+    last.  A crash in between leaves the old rows as ``<name>_old_...`` and the new ones as ``<name>_new_...``, none lost.
+    """
+    tag = uuid.uuid4().hex[:8]
+    new, old = f"{name}_new_{tag}", f"{name}_old_{tag}"
+    rows.write.saveAsTable(new)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 # statements of the dialect
@@ -117,6 +125,61 @@ def _clause(x: list, word: str, start: int = 0) -> int | None:
     return next((i for i in range(start, len(x)) if is_word(x[i], word)), None)
 
 
+def target_table(tokens: list[Token]) -> str:
+    """The table that a statement changes."""
+    words = [t for t in tokens if t.kind in ("word", "quoted")]
+    skip = {"INSERT": 2, "DELETE": 2, "MERGE": 2, "UPDATE": 4 if len(words) > 1 and words[1].text.upper() == "OR" else 1}
+    return words[skip.get(words[0].text.upper(), 1)].text.strip('"').lower()
+
+
+@dataclass
+class Change:
+    """The rows that a statement changes, and those it leaves alone: what row hooks need."""
+
+    table: str
+    event: str
+    kept: DataFrame
+    rows: DataFrame  # with the structs new and/or old
+
+
+def plan_change(spark: SparkSession, tokens: list[Token]) -> Change:
+    """An INSERT, UPDATE or DELETE row by row; other statements run without hooks only."""
+    x = tree(tokens)
+    if is_word(x[0], "UPDATE") and not is_word(x[1], "OR"):
+        at, end = _clause(x, "SET"), _clause(x, "WHERE")
+        name = x[1].text.strip('"').lower()
+        alias = next((y.text for y in x[2:at] if is_word(y) and not is_word(y, "AS")), name)
+        where, table = _text(x[end + 1 :]) if end else "true", spark.table(name)
+        hit, columns = table.alias(alias).where(where), table.columns
+        both = update(hit.withColumn("_old", F.struct(*[F.col(f"{alias}.`{c}`") for c in columns])), _assignments(x[at + 1 : end]))
+        return Change(name, "UPDATE", delete(table.alias(alias), where), both.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("new"), F.col("_old").alias("old")))
+    if is_word(x[0], "DELETE"):
+        end = _clause(x, "WHERE")
+        name = x[2].text.strip('"').lower()
+        alias = next((y.text for y in x[3:end] if is_word(y) and not is_word(y, "AS")), name)
+        where, table = _text(x[end + 1 :]) if end else "true", spark.table(name).alias(alias)
+        return Change(name, "DELETE", delete(table, where), table.where(where).select(F.struct(*spark.table(name).columns).alias("old")))
+    if is_word(x[0], "INSERT"):
+        name, rows = _inserted(spark, x)
+        target = spark.table(name)
+        return Change(name, "INSERT", target, insert(target.limit(0), rows).select(F.struct(*target.columns).alias("new")))
+    raise DialectError(f"{render(flat(x[:2])).strip()} on a table with row hooks")
+
+
+def _inserted(spark: SparkSession, x: list) -> tuple[str, DataFrame]:
+    """(table, rows) of an INSERT."""
+    name, columns, rest = x[2].text.strip('"').lower(), None, x[3:]
+    if rest and isinstance(rest[0], list) and not is_word(rest[0][1], "SELECT"):
+        columns, rest = [flat(c)[0].text.strip('"').lower() for c in split_commas(rest[0][1:-1])], rest[1:]
+    if any(is_word(y, "RETURNING", "LOG") for y in rest):
+        raise DialectError(f"line {x[0].line}: INSERT with RETURNING or an error log")
+    if is_word(rest[0], "VALUES"):
+        rows = spark.sql("SELECT " + ", ".join(_text(v) for v in split_commas(rest[1][1:-1])))
+    else:
+        rows = spark.sql(_text(rest))
+    return name, rows.toDF(*(columns or spark.table(name).columns))
+
+
 def plan_statement(spark: SparkSession, tokens: list[Token]) -> tuple[str, DataFrame]:
     """(table, its rows after the statement) of an INSERT, UPDATE, DELETE, MERGE or UPDATE OR INSERT."""
     x = tree(tokens)
@@ -140,16 +203,8 @@ def plan_statement(spark: SparkSession, tokens: list[Token]) -> tuple[str, DataF
         alias = next((y.text for y in x[3:end] if is_word(y) and not is_word(y, "AS")), name)
         return name, delete(spark.table(name).alias(alias), _text(x[end + 1 :]) if end else "true")
     if is_word(x[0], "INSERT"):
-        name, columns, rest = x[2].text.strip('"').lower(), None, x[3:]
-        if rest and isinstance(rest[0], list) and not is_word(rest[0][1], "SELECT"):
-            columns, rest = [flat(c)[0].text.strip('"').lower() for c in split_commas(rest[0][1:-1])], rest[1:]
-        target = spark.table(name)
-        columns = columns or target.columns
-        if is_word(rest[0], "VALUES"):
-            rows = spark.sql("SELECT " + ", ".join(_text(v) for v in split_commas(rest[1][1:-1])))
-        else:
-            rows = spark.sql(_text(rest))
-        return name, insert(target, rows.toDF(*columns))
+        name, rows = _inserted(spark, x)
+        return name, insert(spark.table(name), rows)
     if is_word(x[0], "MERGE"):
         return _merge(spark, x)
     raise DialectError(f"no plan for {render(flat(x[:2])).strip()}")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..dialect import parser as p
 from ..dialect.tokens import DialectError
+from ..session import checkpointed
 from .sequences import Sequences
 
 SEQUENCE = re.compile(r"(?i)caravel_sequence\('([^']+)', ([^()]+)\)")
@@ -32,9 +33,11 @@ class Hook:
     sets: dict[str, str] = field(default_factory=dict)  # column -> expression over new.*, old.*
     inserts: list[tuple[str, str, dict[str, str]]] = field(default_factory=list)  # table, condition, column -> expression
     raises: list[tuple[str, str]] = field(default_factory=list)  # condition, message expression
+    draws: list[tuple[str, int, str, str]] = field(default_factory=list)  # column with the value, step, condition, sequence
 
     def describe(self) -> str:
         lines = [f"-- {self.phase} {' OR '.join(self.events)} ON {self.table}"]
+        lines += [f"{c} = next value of {s} by {n} WHERE {w}" for c, n, w, s in self.draws]
         lines += [f"new.{c} = {e}" for c, e in self.sets.items()]
         lines += [f"INSERT INTO {t} ({', '.join(v)}) SELECT {', '.join(v.values())} WHERE {c}" for t, c, v in self.inserts]
         lines += [f"raise_error({m}) WHERE {c}" for c, m in self.raises]
@@ -49,8 +52,17 @@ class _Compiler:
         self.to_sql = lambda run: translate_expression(run, integers)
         self.env: dict[str, str] = {d.name.lower(): self.to_sql(d.default) if d.default else "NULL" for d in trigger.block.declarations}
 
-    def expr(self, run) -> str:
-        text = self.to_sql(run)
+    def expr(self, run, condition: str = "true") -> str:
+        """Sequence calls become columns, drawn for the rows that meet the condition."""
+
+        def draw(m: re.Match) -> str:
+            step = m[2].strip()
+            if not re.fullmatch(r"-?\d+", step):
+                raise DialectError(f"{self.hook.name}: a step of {step} for sequence {m[1]}")
+            self.hook.draws.append((f"_seq_{self.hook.name}_{len(self.hook.draws)}", int(step), condition, m[1]))
+            return self.hook.draws[-1][0]
+
+        text = SEQUENCE.sub(draw, self.to_sql(run))
         # an earlier assignment is what a later read sees
         swap = lambda m: self.env.get(re.sub(r"\s", "", m[0]).lower(), m[0]) if m[0][0] != "'" else m[0]
         return re.sub(r"'(?:[^']|'')*'|(?<![\w.`])[A-Za-z_]\w*(?:\s*\.\s*\w+)?(?![\w.(`])", swap, text)
@@ -66,7 +78,7 @@ class _Compiler:
                     n = f"NOT coalesce(({c}), false)"
                     self.run([s.other], n if condition == "true" else f"({condition}) AND {n}")
             elif isinstance(s, p.Assign):
-                name, value = s.target.lower(), self.expr(s.value)
+                name, value = s.target.lower(), self.expr(s.value, condition)
                 value = value if condition == "true" else f"CASE WHEN {condition} THEN {value} ELSE {self.env.get(name, name)} END"
                 self.env[name] = f"({value})"
                 if name.startswith("new."):
@@ -117,7 +129,7 @@ class _Compiler:
         values.append(part)
         if len(columns) != len(values):
             raise DialectError(f"{self.hook.name}: {len(columns)} columns and {len(values)} values")
-        return table, condition, {c: self.expr(v) for c, v in zip(columns, values, strict=True)}
+        return table, condition, {c: self.expr(v, condition) for c, v in zip(columns, values, strict=True)}
 
 
 def compile_trigger(trigger: p.Trigger, integers: Iterable[str] = ()) -> Hook:
@@ -128,14 +140,18 @@ def compile_trigger(trigger: p.Trigger, integers: Iterable[str] = ()) -> Hook:
     return c.hook
 
 
-def _with_sequences(df: DataFrame, text: str, sequences: Sequences | None, order: list[str]) -> tuple[DataFrame, str]:
-    """Sequence calls replaced by columns that hold their values, one advance a row."""
-    for i, m in enumerate(SEQUENCE.finditer(text)):
+def _drawn(rows: DataFrame, hook: Hook, sequences: Sequences | None, order: list[str]) -> DataFrame:
+    """``rows`` with the hook's sequence values: a sequence advances for the rows alone that reach the call."""
+    for column, step, condition, name in hook.draws:
         if sequences is None:
-            raise DialectError(f"sequence {m[1]} is not known")
-        df = sequences.assign(df, m[1], f"_seq{i}", order, int(m[2]) if m[2].strip().isdigit() else 1)
-        text = text.replace(m[0], f"_seq{i}")
-    return df, text
+            raise DialectError(f"sequence {name} is not known")
+        if condition == "true":
+            rows = sequences.assign(rows, name, column, order, step)
+            continue
+        rows = checkpointed(rows.withColumn("_reached", F.coalesce(F.expr(condition), F.lit(False))))
+        reached = sequences.assign(rows.where("_reached"), name, column, order, step)
+        rows = reached.unionByName(rows.where("NOT _reached").withColumn(column, F.lit(None).cast("long"))).drop("_reached")
+    return rows
 
 
 def apply_hooks(rows: DataFrame, hooks: Iterable[Hook], event: str, phase: str, sequences: Sequences | None = None, order: list[str] | None = None) -> tuple[DataFrame, Mapping[str, list[DataFrame]]]:
@@ -148,15 +164,17 @@ def apply_hooks(rows: DataFrame, hooks: Iterable[Hook], event: str, phase: str,
     for h in fits:
         for condition, message in h.raises:
             rows = rows.where(F.expr(f"CASE WHEN {condition} THEN raise_error({message}) IS NULL ELSE true END"))
-        if phase == "BEFORE" and event != "DELETE" and h.sets:
-            updates = []
-            for column, text in h.sets.items():
-                rows, text = _with_sequences(rows, text, sequences, order or ["new"])
-                updates.append(F.expr(text).alias(column))
-            kinds = {f.name.lower(): f for f in rows.schema["new"].dataType.fields}
-            changed = {c: u.cast(kinds[c].dataType) for (c, _), u in zip(h.sets.items(), updates, strict=True) if c in kinds}
-            fields = [changed.get(n, F.col(f"new.{f.name}")).alias(f.name) for n, f in kinds.items()]
-            rows = rows.withColumn("new", F.struct(*fields)).drop(*[c for c in rows.columns if c.startswith("_seq")])
+        rows = _drawn(rows, h, sequences, order or ["new" if "new" in rows.columns else "old"])
+        # the expressions are over the row as it came to this hook
         for table, condition, values in h.inserts:
             side.setdefault(table, []).append(rows.where(F.expr(condition)).select(*[F.expr(e).alias(c) for c, e in values.items()]))
+        if phase == "BEFORE" and event != "DELETE" and h.sets:
+            kinds = {f.name.lower(): f for f in rows.schema["new"].dataType.fields}
+            unknown = sorted(set(h.sets) - set(kinds))
+            if unknown:
+                raise DialectError(f"{h.name}: {h.table} has no column {', '.join(unknown)}")
+            changed = {c: F.expr(text).cast(kinds[c].dataType) for c, text in h.sets.items()}
+            fields = [changed.get(n, F.col(f"new.`{f.name}`")).alias(f.name) for n, f in kinds.items()]
+            rows = rows.withColumn("new", F.struct(*fields))
+        rows = rows.drop(*[d[0] for d in h.draws])
     return rows, side

@@ -1,11 +1,14 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from caravel.catalog.model import Column, Table
 from caravel.operators.sequences import Sequences, numbered
 from caravel.operators.triggers import compile_trigger
 from caravel.dialect.parser import parse_script
+from caravel.dialect.tokens import DialectError
+from caravel.engine import Engine
 from caravel.sources import jdbc, loader
 from caravel.streaming import windows
 
@@ -51,6 +54,41 @@ def test_numbers_are_gapless(spark):
     assert s.synchronise("h", spark.range(0), "id") == 1
 
 
+@pytest.mark.parametrize("partitions", [2, 4, 8, 200])
+def test_numbers_at_any_number_of_partitions(spark, tmp_path, partitions):
+    """One file of 1,500 rows: the partitioner samples, so placing the rows twice would cut them differently."""
+    spark.range(0, 1500, 1, 1).selectExpr("(id * 7919) % 1500 AS k").write.parquet(str(tmp_path / "k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = numbered(spark.read.parquet(str(tmp_path / "k")), "n", ["k"], 100).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == 1500 and all(r.n == 100 + r.k for r in got)
+
+
+def test_engine_runs_row_hooks(spark):
+    spark.sql("DROP TABLE IF EXISTS hooked"), spark.sql("DROP TABLE IF EXISTS hook_log")
+    spark.createDataFrame([(1, "a", 5)], "id long, name string, total int").write.saveAsTable("hooked")
+    spark.createDataFrame([], "what string, id long, old_total int, seq long").write.saveAsTable("hook_log")
+    e = Engine(spark)
+    e.sequences.set("gen_hooked", 10)
+    e.register("CREATE TRIGGER BI FOR HOOKED BEFORE INSERT AS BEGIN IF (NEW.ID IS NULL) THEN NEW.ID = GEN_ID(GEN_HOOKED, 1); NEW.NAME = UPPER(NEW.NAME); END")
+    e.register("CREATE TRIGGER AU FOR HOOKED AFTER UPDATE OR DELETE AS BEGIN INSERT INTO HOOK_LOG (WHAT, ID, OLD_TOTAL, SEQ) VALUES ('changed', OLD.ID, OLD.TOTAL, GEN_ID(GEN_LOG, 1)); END")
+    e.register("INSERT INTO HOOKED (NAME, TOTAL) VALUES ('b', 7)")
+    e.register("INSERT INTO HOOKED (ID, NAME, TOTAL) VALUES (3, 'c', 9)")
+    e.register("INSERT INTO HOOKED (ID, NAME, TOTAL) VALUES (NEXT VALUE FOR GEN_HOOKED, 'd', 1)")
+    e.register("UPDATE HOOKED SET TOTAL = TOTAL + 1 WHERE TOTAL > 6")
+    e.register("DELETE FROM HOOKED WHERE ID = 3")
+    assert sorted(tuple(r) for r in spark.table("hooked").collect()) == [(1, "a", 5), (11, "B", 8), (12, "D", 1)]
+    log = [tuple(r) for r in spark.table("hook_log").collect()]
+    assert sorted(x[:3] for x in log) == [("changed", 3, 9), ("changed", 3, 10), ("changed", 11, 7)] and sorted(x[3] for x in log) == [1, 2, 3]
+    assert e.query("SELECT GEN_ID(GEN_HOOKED, 0) AS x, GEN_ID(GEN_HOOKED, 5) AS y FROM RDB$DATABASE").collect()[0][:] == (12, 17)
+    with pytest.raises(DialectError):
+        e.query("SELECT GEN_ID(GEN_HOOKED, 1) FROM HOOKED")
+    spark.sql("DROP TABLE hooked"), spark.sql("DROP TABLE hook_log")
+
+
 def test_stream_hooks_and_windows(spark, tmp_path):
     src = tmp_path / "in"
     spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string").write.parquet(str(src))
