@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 START, END, TRAINED = "<|im_start|>", "<|im_end|>", "assistant"
@@ -104,32 +105,75 @@ def format_conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str
     return sorted_rows.mapInArrow(run, "conv_id long, formatted string, examples array<struct<context_end:long,start:long,end:long>>")
 
 
+@dataclass(frozen=True)
+class Example:
+    """A reply with all before it: the mask's bounds count in ``target``, which begins with the reply's opening mark."""
+
+    text: str
+    context_end: int
+    target: str
+    loss_start: int
+    loss_end: int
+
+    @property
+    def context(self) -> str:
+        return self.text[: self.context_end]
+
+
+def expand(text: str, spans: list[tuple[int, int, int]]) -> Iterator[Example]:
+    """The examples of a conversation's formatted text, one for each assistant turn."""
+    for context_end, start, end in spans:
+        yield Example(text, context_end, text[context_end : end + len(END) + 1], start - context_end, end - context_end)
+
+
 def examples(formatted: DataFrame) -> DataFrame:
     """(conv_id, example, context, target, loss_start, loss_end): the training texts; the mask's bounds are in ``target``.
 
-    target begins with the reply's opening mark and ends with its closing mark.
+    target begins with the reply's opening mark and ends with its closing mark.  A task holds one example at a time.
     """
-    e = formatted.select("conv_id", "formatted", F.posexplode("examples").alias("example", "e"))
-    head = F.col("e.start") - F.col("e.context_end")
-    stop = F.col("e.end") + len(END) + 1
-    cut = lambda a, b: F.substring(F.col("formatted"), (a + 1).cast("int"), (b - a).cast("int"))
-    return e.select("conv_id", "example", cut(F.lit(0), F.col("e.context_end")).alias("context"), cut(F.col("e.context_end"), stop).alias("target"), head.alias("loss_start"), (head + F.col("e.end") - F.col("e.start")).alias("loss_end"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, text, spans = (batch.column(k)[i].as_py() for k in range(3))
+                for n, e in enumerate(expand(text, [(s["context_end"], s["start"], s["end"]) for s in spans])):
+                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([n], pa.int32()), pa.array([e.context]), pa.array([e.target]), pa.array([e.loss_start], pa.int64()), pa.array([e.loss_end], pa.int64())], names=["conv_id", "example", "context", "target", "loss_start", "loss_end"])
+
+    return formatted.select("conv_id", "formatted", "examples").mapInArrow(run, "conv_id long, example int, context string, target string, loss_start long, loss_end long")
+
+
+def write(formatted: DataFrame, folder: str) -> None:
+    """Stores conversations and their examples as Parquet; read() gives them back."""
+    formatted.write.mode("errorifexists").parquet(folder)
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("conv_id long, formatted string, examples array<struct<context_end:long,start:long,end:long>>").parquet(folder)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts hold: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)."""
+    """What stored conversations and their examples hold: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
+
+    The loss is what the expanded examples' masks hold, one example after another: an example's context is the
+    conversation up to its reply, so only its end is kept, and the texts of all examples are never there at once.
+    """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                text = row["formatted"]
-                turns = parse(text)
-                loss = "".join(unescape(text[e["start"] : e["end"]]) for e in row["examples"])
-                whole = "".join(f"{r}\n{x}\n" for r, x in turns)
-                out.append((row["conv_id"], len(turns), hashlib.sha256(whole.encode("utf-8", "surrogatepass")).hexdigest(), len(loss), hashlib.sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(), len(text)))
+            for i in range(batch.num_rows):
+                key, text, spans = (batch.column(k)[i].as_py() for k in range(3))
+                turns, whole, loss, loss_chars = 0, hashlib.sha256(), hashlib.sha256(), 0
+                for role, x in parse(text):
+                    whole.update(f"{role}\n{x}\n".encode("utf-8", "surrogatepass"))
+                    turns += 1
+                for e in expand(text, [(s["context_end"], s["start"], s["end"]) for s in spans]):
+                    said = unescape(e.target[e.loss_start : e.loss_end])
+                    loss.update(said.encode("utf-8", "surrogatepass"))
+                    loss_chars += len(said)
+                out.append((key, turns, whole.hexdigest(), loss_chars, loss.hexdigest(), len(text)))
             cols = zip(*out, strict=True) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=names)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.select("conv_id", "formatted", "examples").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

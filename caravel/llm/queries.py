@@ -51,7 +51,9 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+    folder = scratch(spark, "chat")
+    chat.write(chat.format_conversations(rows.unionByName(extra)), folder)
+    return chat.digests(chat.read(spark, folder))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -384,6 +384,18 @@ def test_chat(spark):
         assert text[e.conv_id].startswith(e.context + e.target) and turns[-1][0] == "assistant"
         assert chat.unescape(e.target[e.loss_start : e.loss_end]) == turns[-1][1]
     assert chat.digests(chat.format_conversations(d.where("false"))).collect() == []
+    folder = scratch(spark, "chat-test")
+    chat.write(made, folder)
+    assert sorted(map(str, chat.digests(chat.read(spark, folder)).collect())) == sorted(map(str, got.values()))
+
+
+def test_long_conversation(spark):
+    """Thousands of turns: examples are kept by reference, so the stored text grows with the turns alone."""
+    n = 3000
+    d = spark.createDataFrame([(5, i, "assistant" if i % 2 else "user", "t%d" % i) for i in range(n)], "conv_id long, turn long, role string, text string").repartition(4)
+    r = chat.digests(chat.format_conversations(d)).collect()
+    assert len(r) == 1 and r[0].n_turns == n and r[0].loss_sha256 == hashlib.sha256("".join("t%d" % i for i in range(1, n, 2)).encode()).hexdigest()
+    assert r[0].formatted_chars < n * 50
 
 
 # 7
@@ -408,8 +420,15 @@ def test_quality(spark, docs, rows, none):
     assert verdicts == {(r.doc_id, r.text): r.kept for r in quality.judge(d).collect()}
     assert any(verdicts.values()) and not all(verdicts.values())
     assert quality.quality(none).collect() == [] and quality.judge(none).collect() == []
-    order = quality.order_rules(d, quality.RULES)
-    assert [(x[2] + 0.5 / 400) / x[1] for x in order] and {x[0].name for x in order} == {x.name for x in quality.RULES}
+    held = quality.sampled(d, "text", 50).select("t", quality.words(F.col("t")).alias("w")).cache()
+    n, v = held.count(), quality.view(F.col("t"), F.col("w"))
+    order = quality.order_rules(held, quality.RULES + quality.BASE_RULES, v)
+    gain = [(x[2] + 0.5 / n) / x[1] for x in order]
+    assert 20 < n <= 50 and gain == sorted(gain, reverse=True) and {x[0].name for x in order} == {x.name for x in quality.RULES + quality.BASE_RULES}
+    # a rule that does far more than the others costs more
+    slow = quality.Rule("slow", lambda v: F.levenshtein(F.lpad(F.coalesce(v.text, F.lit("")), 1500, "x"), F.lit("ab" * 500)) < 0)
+    cost = {x[0].name: x[1] for x in quality.order_rules(held, [slow, quality.RULES[0]], v)}
+    assert cost["slow"] > cost["symbols"]
 
 
 # 8 and 10
