@@ -559,6 +559,33 @@ def test_substring(docs, rows, none):
         assert r.ref < r.id and text[r.id][r.start : r.start + r.length] == text[r.ref][r.ref_start : r.ref_start + r.length] and r.length >= 13
 
 
+def test_factors_are_greedy_and_verified():
+    """A long copy stays one factor though the index names another reference for its middle; equal hashes of other words give none."""
+    ref = [b"r%d" % i for i in range(60)]
+    doc = [b"a", b"b", *ref[5:50], b"z", *ref[20:40], b"y"] + [b"q%d" % i for i in range(20)]
+    # the windows of words 20 to 35 of the reference stand in document 1 first, at 100
+    place = lambda i: (1, 100 + i - 20) if 20 <= i <= 22 else (3, i)
+    found = [(2 + i, *place(5 + i)) for i in range(45 - 12)] + [(48 + i, *place(20 + i)) for i in range(8)] + [(69, 9, 0), (70, 9, 1)]
+    places, r, r_at = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
+    first = ref[20:35] + [b"other"] * 30
+    source = {1: [b"x"] * 100 + first, 3: ref, 9: [b"w%d" % i for i in range(30)]}
+    asked = substring.stretches(places, r, r_at, 13)
+    fetched = {}
+    for at, k, k_at, n in asked:
+        fetched.setdefault(at, []).append(source[k][k_at : k_at + n])
+    got = substring.parse(doc, places, r, r_at, fetched, 13)
+    assert got == [(2, 45, 3, 5), (48, 15, 1, 100), (51, 17, 3, 23)]
+    # the index alone would take the words after 69 as well
+    assert substring.spans([(int(x), 13) for x in places], len(doc)).sum() > substring.spans(got, len(doc)).sum() == 65
+    assert substring.parse(doc[:30], places, r, r_at, fetched, 13) == [(2, 28, 3, 5)] and substring.parse([], places[:0], r[:0], r_at[:0], {}, 13) == []
+
+
+def test_factors_do_not_depend_on_the_partitions(spark):
+    passage = prose(40)
+    d = spark.createDataFrame([(i, prose(20) + " " + passage + " " + prose(5) + " " + passage) for i in range(6)], "doc_id long, text string")
+    assert sorted(substring.factors(d.repartition(5)).collect()) == sorted(substring.factors(d.coalesce(1)).collect())
+
+
 def test_minimizers_meet_every_window():
     w = np.array([R.randrange(50) for _ in range(500)], dtype=np.uint64)
     g = texthash.gram_hashes(texthash.mix(w), 5)
