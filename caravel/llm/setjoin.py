@@ -4,7 +4,8 @@ All sets are put in one order; two similar sets share one of the first n - ceil(
 prefixes.  Shingles that many documents of a bounded sample hold come last, which decides the cost alone.
 
 A shingle in the prefixes of more than HOT nodes would give the square of its nodes in pairs.  Such nodes are held
-against a pivot instead, that with the fewest rarer shingles before it, hence the one with the least of its own:
+against a pivot instead, that with the fewest shingles that are not common, hence the one with the least of its own; so
+all shingles of a passage have the same pivot:
 
 * A node similar to the pivot is linked to it, and nodes linked to it need no link to each other.
 * Otherwise write a set as its difference from the pivot's: the shingles it adds and those it lacks.  With p shingles
@@ -24,7 +25,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +33,11 @@ from .common import cut, drop, stored, with_aggregates
 from .texthash import gram_hashes, word_hashes
 
 #: Documents sampled for common shingles, how many of them hold a common one, and a bound on their number.
-COMMON_SAMPLE, COMMON, COMMON_MOST = 2000, 8, 1 << 16
+COMMON_SAMPLE, COMMON, COMMON_MOST = 8000, 4, 1 << 18
 #: Ids of at most so many documents are broadcast to their texts, and sets of pivots of at most so many bytes to their nodes.
 BROADCAST_IDS, BROADCAST_BYTES = 1_000_000, 32 << 20
 #: Prefixes of more nodes than HOT are held against pivots, of which there are ROUNDS one after another.
-HOT, ROUNDS = 64, 4
+HOT, ROUNDS = 64, 2
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -67,14 +67,14 @@ def _sets(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
 def verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least the Jaccard similarity, by the whole sets of shingles of rows (id, text)."""
 
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def similar(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
         for p, q in zip(x, y, strict=True):
-            both = np.sort(np.concatenate([np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")]))
+            both = np.sort(np.concatenate([np.frombuffer(p.as_buffer(), "<u8"), np.frombuffer(q.as_buffer(), "<u8")]))
             shared = int((both[1:] == both[:-1]).sum())
             out.append(len(both) == 0 or shared / (len(both) - shared) >= similarity)
-        return pd.Series(out, dtype=bool)
+        return pa.array(out, pa.bool_())
 
     asked, at = stored(pairs, "asked")
     ids = cut(asked.select(F.explode(F.array("a", "b")).alias("node")).distinct())
@@ -99,10 +99,16 @@ def common_shingles(texts: DataFrame, nodes: int, shingle: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in counts.orderBy(F.desc("n"), "h").limit(COMMON_MOST).collect()], dtype=np.int64).view(np.uint64))
 
 
-def prefix(g: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
-    """The first n - ceil(similarity n) + 1 of n shingles in the order of all sets: common ones last, else by hash."""
+def among(g: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which values of g stand in the sorted values ``common``."""
+    if not len(common):
+        return np.zeros(len(g), dtype=bool)
+    return common[np.minimum(np.searchsorted(common, g), len(common) - 1)] == g
+
+
+def prefix(g: np.ndarray, late: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 of n shingles in the order of all sets: common ones late, else by hash."""
     n = len(g) - int(np.ceil(similarity * len(g) - 1e-9)) + 1 if len(g) else 0
-    late = np.isin(g, common)
     return np.concatenate([g[~late], g[late]])[:n]
 
 
@@ -119,32 +125,39 @@ def similar_pairs(rows: DataFrame, nodes: DataFrame, shingle: int, similarity: f
             ids, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
             for i in range(0, batch.num_rows, 256):
                 sets = [shingle_set(t.as_py(), shingle) for t in batch.column(0)[i : i + 256]]
-                heads = [prefix(g, common, similarity) for g in sets]
+                late = [among(g, common) for g in sets]
+                heads = [prefix(g, x, similarity) for g, x in zip(sets, late, strict=True)]
+                own = np.array([len(x) - int(x.sum()) for x in late], dtype=np.int32)
                 k = np.array([len(x) for x in heads], dtype=np.int64)
                 n = np.repeat(np.array([len(g) for g in sets], dtype=np.int32), k)
                 at = np.arange(k.sum(), dtype=np.int32) - np.repeat(np.cumsum(k) - k, k).astype(np.int32)
-                cols = [np.concatenate(heads).view(np.int64), np.repeat(ids[i : i + 256], k), np.repeat(comps[i : i + 256], k), n, at]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "node", "comp", "n", "at"])
+                cols = [np.concatenate(heads).view(np.int64), np.repeat(ids[i : i + 256], k), np.repeat(comps[i : i + 256], k), n, np.repeat(own, k), at]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "node", "comp", "n", "own", "at"])
 
-    held, place = stored(texts.select("text", "node", "comp").mapInArrow(run, "h long, node long, comp long, n int, at int"), "prefixes")
-    found, links, todo, rest = [], [], held, ROUNDS
+    held, place = stored(texts.select("text", "node", "comp").mapInArrow(run, "h long, node long, comp long, n int, own int, at int"), "prefixes")
+    spark, found, links, todo, rest, keep = rows.sparkSession, [], [], held, ROUNDS, [place]
     while True:
-        first = F.min(F.struct("at", (-F.col("n")).alias("n"), "node"))["node"]
+        first = F.min(F.struct("own", (-F.col("n")).alias("n"), "node"))["node"]
         known = with_aggregates(todo, ["h"], [F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), first.alias("pivot")], "node").where("c0 < c1")
-        known, _ = stored(known.drop("c0", "c1"), "known")
+        known, at = stored(known.drop("c0", "c1"), "known")
+        drop(spark, keep.pop())
+        keep.append(at)
         hot = known.where(F.col("m") > HOT)
         more = rest > 0 and bool(hot.take(1))
-        found.append(_met(known.where(F.col("m") <= HOT) if more else known, similarity))
+        found.append(stored(_met(known.where(F.col("m") <= HOT) if more else known, similarity).distinct(), "met")[0])
         if not more:
             break
-        compared = _against_pivots(hot, rows, shingle, common, similarity)
-        links.append(compared.where(F.col("linked") & F.col("e").isNull()).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        found.append(_alike_differences(compared, similarity))
+        compared, differences = _against_pivots(hot, rows, shingle, common, similarity)
+        links.append(cut(compared.where(F.col("linked") & F.col("e").isNull()).select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
+        found.append(stored(_alike_differences(compared, similarity), "met")[0])
         far = compared.where(F.col("e").isNull() & ~F.col("near")).select("pivot", "node")
-        todo, rest = cut(hot.join(far, ["pivot", "node"], "left_semi").select("h", "node", "comp", "n", "at")), rest - 1
-    pairs, _ = stored(reduce(DataFrame.union, found).distinct(), "met")
-    drop(rows.sparkSession, place)
-    return pairs, reduce(DataFrame.union, links) if links else None
+        todo, place = stored(hot.join(far, ["pivot", "node"], "left_semi").select("h", "node", "comp", "n", "own", "at"), "far")
+        drop(spark, differences)
+        drop(spark, keep.pop())
+        keep.append(place)
+        rest -= 1
+    drop(spark, keep.pop())
+    return reduce(DataFrame.union, found).distinct(), reduce(DataFrame.union, links) if links else None
 
 
 def _met(held: DataFrame, similarity: float) -> DataFrame:
@@ -165,13 +178,13 @@ def difference(g: np.ndarray, pivot: np.ndarray, common: np.ndarray) -> tuple[np
     """(shingles that only one of two sets holds, how many of them g adds), in one order for all sets against a pivot:
     added ones first, common ones among them later, then those lacking."""
     added, lacking = g[~np.isin(g, pivot, assume_unique=True)], pivot[~np.isin(pivot, g, assume_unique=True)]
-    late = np.isin(added, common)
+    late = among(added, common)
     return np.concatenate([added[~late], added[late], lacking]), len(added)
 
 
-def _against_pivots(hot: DataFrame, rows: DataFrame, shingle: int, common: np.ndarray, similarity: float) -> DataFrame:
+def _against_pivots(hot: DataFrame, rows: DataFrame, shingle: int, common: np.ndarray, similarity: float) -> tuple[DataFrame, str]:
     """(pivot, node, comp, linked, near, c, p, size, e, at): for every node of a hot shingle and its pivot a row with e
-    null, and the differences of the nodes within 3 (1 - t) of it; of linked ones only the prefixes."""
+    null, and the differences of the nodes within 3 (1 - t) of it; of linked ones only the prefixes.  And the table's path."""
     pairs = cut(hot.where("node <> pivot").groupBy("pivot", "node").agg(F.min("comp").alias("comp")))
     ids = cut(pairs.select(F.explode(F.array("pivot", "node")).alias("node")).distinct())
     sets, place = stored(_sets(rows, ids, shingle), "sets")
@@ -208,9 +221,9 @@ def _against_pivots(hot: DataFrame, rows: DataFrame, shingle: int, common: np.nd
         return pa.RecordBatch.from_arrays([*one, pa.array(e, mask=at < 0), pa.array(at), pa.array(np.concatenate([x[10] for x in held]))], names=names)
 
     joined = pairs.join(sets, "node").join(F.broadcast(pivots) if size <= BROADCAST_BYTES else pivots, "pivot").select("pivot", "node", "comp", "set", "of")
-    out, _ = stored(joined.mapInArrow(run, "pivot long, node long, comp long, linked boolean, near boolean, c double, p long, size long, e long, at long, probe boolean"), "differences")
+    out, at = stored(joined.mapInArrow(run, "pivot long, node long, comp long, linked boolean, near boolean, c double, p long, size long, e long, at long, probe boolean"), "differences")
     drop(rows.sparkSession, place)
-    return out
+    return out, at
 
 
 def _alike_differences(compared: DataFrame, similarity: float) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, stored
+from .common import cut, drop, stored
 from .graph import connected_components
 from .setjoin import shingle_set, similar_pairs, verified
 
@@ -288,13 +288,15 @@ def similar_groups(rows: DataFrame, nodes: DataFrame, radius: int, shingle: int,
     first = cut(connected_components(verified(_least(close), rows, shingle, similarity)))
     apart = cut(nodes.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
     pairs, held = similar_pairs(rows, apart, shingle, similarity)
-    pairs, _ = stored(_plausible(pairs, known, similarity), "pairs")
+    pairs, place = stored(_plausible(pairs, known, similarity), "pairs")
     # least neighbours first: what they connect needs no comparison of all its pairs
     some = verified(_least(pairs), rows, shingle, similarity).union(edges(first))
     most = cut(connected_components(some.union(held) if held is not None else some))
     comp = lambda x: apart.join(most, "node", "left").select(F.col("node").alias(x), F.coalesce("component", "node").alias(f"of_{x}"))
     rest = pairs.join(comp("a"), "a").join(comp("b"), "b").where("of_a <> of_b").select("a", "b")
-    return connected_components(verified(rest, rows, shingle, similarity).union(edges(most)))
+    found = connected_components(verified(rest, rows, shingle, similarity).union(edges(most)))
+    drop(rows.sparkSession, place)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, similarity: float | None = None) -> DataFrame:

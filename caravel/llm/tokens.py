@@ -22,9 +22,9 @@ import pyarrow.compute as pc
 
 END = 2
 #: Distinct units that one Python worker remembers; beyond it the cache starts anew.
-CACHE_UNITS = 700_000
+CACHE_UNITS = 300_000
 #: Bytes of text that are encoded at once; longer texts are cut at white space.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 # The normaliser and the pre-tokenizer's pattern under which units are independent, and the end-of-word mark.
 RULES = {
     "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
