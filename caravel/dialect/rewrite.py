@@ -13,7 +13,7 @@ from .tokens import DialectError, Token, render, tokenize
 Tree = list  # of Token or Tree; a Tree begins with "(" and ends with ")"
 
 #: Functions whose name alone differs.
-RENAMED = {"IIF": "IF", "LIST": "LISTAGG", "SUBSTRING": "SUBSTRING", "CHAR_LENGTH": "LENGTH", "CHARACTER_LENGTH": "LENGTH", "STRLEN": "LENGTH", "OCTET_LENGTH": "OCTET_LENGTH", "ASCII_VAL": "ASCII", "ASCII_CHAR": "CHR", "MAXVALUE": "GREATEST", "MINVALUE": "LEAST", "CEILING": "CEIL", "RAND": "RAND", "GEN_UUID": "UUID", "WM_CONCAT": "LISTAGG", "STATS_MODE": "MODE", "BIN_AND": "BIT_AND_OF", "SYSDATE": "LOCALTIMESTAMP", "SYSTIMESTAMP": "CURRENT_TIMESTAMP", "TO_TIMESTAMP": "TO_TIMESTAMP_NTZ"}
+RENAMED = {"IIF": "IF", "LIST": "LISTAGG", "SUBSTRING": "SUBSTRING", "CHAR_LENGTH": "LENGTH", "CHARACTER_LENGTH": "LENGTH", "STRLEN": "LENGTH", "OCTET_LENGTH": "OCTET_LENGTH", "ASCII_VAL": "ASCII", "ASCII_CHAR": "CHR", "MAXVALUE": "GREATEST", "MINVALUE": "LEAST", "CEILING": "CEIL", "RAND": "RAND", "GEN_UUID": "UUID", "WM_CONCAT": "LISTAGG", "STATS_MODE": "MODE", "SYSDATE": "LOCALTIMESTAMP", "SYSTIMESTAMP": "CURRENT_TIMESTAMP", "TO_TIMESTAMP": "TO_TIMESTAMP_NTZ"}
 UNARY_NAMES = {"SYSDATE": "localtimestamp()", "SYSTIMESTAMP": "current_timestamp()", "LOCALTIMESTAMP": "localtimestamp()"}
 SYSTEM_TABLE = "RDB$DATABASE"
 CLAUSES = {"WHERE", "GROUP", "HAVING", "ORDER", "UNION", "INTERSECT", "MINUS", "EXCEPT", "LIMIT", "OFFSET", "FETCH", "FOR", "ROWS", "WINDOW", "PLAN", "INTO"}
@@ -226,6 +226,10 @@ class Rewriter:
                 out.append(y.with_text(" DIV ", "raw"))
             elif is_word(y, "STARTING", "CONTAINING") and out:
                 i += self._predicate(x, i, out)
+            elif is_word(y, "LIKEC", "LIKE2", "LIKE4") and out:
+                out.append(y.with_text("LIKE"))
+            elif is_word(y, "MOD") and out and self._operand(out[-1]) and self._operand(follows):
+                out.append(y.with_text("%", "op"))
             elif is_word(y, "SIMILAR") and is_word(follows, "TO"):
                 out.append(y.with_text("RLIKE"))
                 i += 1
@@ -255,6 +259,11 @@ class Rewriter:
             i += 1
         return out
 
+    @staticmethod
+    def _operand(x) -> bool:
+        """Whether x may end or begin an operand: brackets, a number, a bind variable or a name that is no keyword."""
+        return isinstance(x, list) or isinstance(x, Token) and (x.kind in ("number", "bind", "quoted") or is_word(x) and x.text.upper() not in CLAUSES | {"SELECT", "FROM", "AS", "AND", "OR", "NOT", "ON", "BY", "WHEN", "THEN", "ELSE", "END", "DISTINCT", "ALL", "CASE", "IN", "IS", "LIKE", "BETWEEN", "ASC", "DESC"})
+
     @staticmethod
     def _take(out: Tree):
         """The operand that ends ``out``: a name, a qualified name, a call or brackets."""
@@ -329,6 +338,8 @@ class Rewriter:
             return 3
         elif name == "JSON_VALUE" and len(parts) == 2:
             put(f"get_json_object({plain(parts[0])}, {plain(parts[1])})")
+        elif name == "LNNVL" and len(parts) == 1:
+            put(f"coalesce(NOT ({plain(inner)}), true)")
         elif name == "BITAND" and len(parts) == 2 or name == "BIN_AND":
             put("(" + " & ".join(plain(p) for p in parts) + ")")
         elif name == "CAST" and any(is_word(z, "BLOB") for z in inner) or name == "CAST":

@@ -110,3 +110,18 @@ def test_views_with_glued_variables_and_triggers(engine):
     assert (hook.active, hook.position, hook.inserts[0][2]) == (False, 3, {"id": "(SELECT MAX(ID) FROM CONTAS)"})
     with pytest.raises(DialectError):
         compile_trigger(parse_script("CREATE TRIGGER T FOR X AFTER INSERT AS BEGIN NEW.A = 1; END")[0])
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("SELECT id MOD 3 AS m FROM range(4) ORDER BY id", [0, 1, 2, 0]),
+        ("SELECT (id + 1) MOD (1 + 1) AS m FROM range(3) ORDER BY id", [1, 0, 1]),
+        ("SELECT MOD(id, 2) AS m FROM range(3) ORDER BY id", [0, 1, 0]),
+        ("SELECT id AS m FROM range(4) WHERE LNNVL(id > 1) ORDER BY id", [0, 1]),
+        ("SELECT id AS m FROM range(12) WHERE CAST(id AS VARCHAR(3)) LIKEC '1_'", [10, 11]),
+    ],
+)
+def test_operators_of_the_dialect(spark, text, want):
+    sql = translate(text)[0].sql
+    assert sorted(r.m for r in spark.sql(sql).collect()) == sorted(want)
