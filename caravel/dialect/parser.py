@@ -155,6 +155,7 @@ def name_of(t: Token) -> str:
 class Parser:
     def __init__(self, text: str):
         self.tokens, self.at = tokenize(text), 0
+        self.result, self.loops, self.made = None, 0, 0  # a function's output, LOOPs around, names made
 
     # plumbing
     @property
@@ -234,17 +235,19 @@ class Parser:
             if self.take("OR"):
                 if not (self.take("ALTER") or self.take("REPLACE")):
                     raise self.fail("ALTER or REPLACE")
-            for word, rule in (("VIEW", self.view), ("PROCEDURE", self.procedure), ("TRIGGER", self.trigger)):
+            for word, rule in (("VIEW", self.view), ("PROCEDURE", self.procedure), ("FUNCTION", self.function), ("TRIGGER", self.trigger)):
                 if self.take(word):
                     return rule()
             if self.ahead("TABLE") or self.ahead("SEQUENCE") or self.ahead("GENERATOR") or self.ahead("DOMAIN") or self.ahead("EXCEPTION"):
                 verb = f"CREATE {self.now.key}"
                 self.at = start
                 return Statement(verb, self.to_end())
-            raise self.fail("VIEW, PROCEDURE, TRIGGER, TABLE, SEQUENCE, DOMAIN or EXCEPTION")
+            raise self.fail("VIEW, PROCEDURE, FUNCTION, TRIGGER, TABLE, SEQUENCE, DOMAIN or EXCEPTION")
         if self.now.key in ("SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "MERGE", "COMMIT", "ROLLBACK", "SAVEPOINT", "LOCK", "SET", "EXPLAIN", "DROP") and self.now.kind == "word" or self.ahead("("):
             verb = self.now.key
             return Statement(verb, self.to_end())
+        if self.ahead("DECLARE") or self.ahead("BEGIN"):
+            return Procedure("block", [], [], self.body())
         if self.ahead("EXECUTE", "BLOCK"):
             self.at += 2
             ins = self.parameters() if self.ahead("(") else []
@@ -302,6 +305,19 @@ class Parser:
         self.need("AS")
         return Procedure(name, ins, outs, self.body())
 
+    def function(self) -> Procedure:
+        """A function is a procedure with one output, ``result``, that RETURN sets."""
+        name = self.name()
+        ins = self.parameters() if self.ahead("(") else []
+        self.need("RETURNS")
+        kind = self.until("AS")
+        if not kind:
+            raise self.fail("a type")
+        self.result = "result"
+        block = self.body()
+        self.result = None
+        return Procedure(name, ins, [Parameter("result", render(kind).strip())], block)
+
     def trigger(self) -> Trigger:
         name = self.name()
         self.need("FOR")
@@ -387,6 +403,21 @@ class Parser:
             condition = self.bracketed()
             self.need("DO")
             return While(condition, self.statement(), label)
+        if key == "LOOP":
+            return While([Token("word", "TRUE", self.now.line)], self.loop(), label)
+        if key == "CASE":
+            return self.cases()
+        if key == "RETURN":
+            return self.returned()
+        if key == "RAISE":
+            self.next()
+            name = self.name() if self.now.kind in ("word", "quoted") else ""
+            self.need(";")
+            return Raise(name)
+        if key in ("OPEN", "FETCH", "CLOSE", "FORALL", "PIPE", "GOTO") and self.tokens[self.at + 1].kind in ("word", "quoted", "bind"):
+            raise DialectError(f"line {self.now.line}: {key} has no translation")
+        if key == "FOR" and self.tokens[self.at + 2].key == "IN" and self.tokens[self.at + 1].kind == "word":
+            return self.counted(label)
         if key == "FOR":
             self.next()
             if self.take("EXECUTE", "STATEMENT"):
@@ -416,11 +447,14 @@ class Parser:
             self.next()
             self.need(";")
             return Suspend()
-        if key in ("LEAVE", "BREAK", "CONTINUE"):
+        if key in ("LEAVE", "BREAK", "CONTINUE") or key == "EXIT" and (self.loops or self.ahead("WHEN", skip=1)):
             self.next()
-            label = self.name() if self.now.kind == "word" else None
+            label = self.name() if self.now.kind == "word" and not self.ahead("WHEN") else None
+            leave = Leave(label, key == "CONTINUE")
+            if self.take("WHEN"):
+                return If(self.until(";"), leave, None)
             self.need(";")
-            return Leave(label, key == "CONTINUE")
+            return leave
         if key == "EXIT":
             self.next()
             self.need(";")
@@ -433,14 +467,16 @@ class Parser:
             self.next()
             if self.take("PROCEDURE"):
                 return self.call()
-            if self.take("STATEMENT"):
-                text = self.until("INTO", ";")
+            if self.take("STATEMENT") or self.take("IMMEDIATE"):
+                text = self.until("INTO", "USING", ";")
+                if self.tokens[self.at - 1].key == "USING":
+                    raise DialectError(f"line {self.tokens[self.at - 1].line}: EXECUTE with USING has no translation")
                 into = []
                 if self.tokens[self.at - 1].key == "INTO":
                     into = self.names()
                     self.need(";")
                 return Execute(text, into)
-            raise self.fail("PROCEDURE or STATEMENT")
+            raise self.fail("PROCEDURE, STATEMENT or IMMEDIATE")
         if self.now.kind in ("word", "bind", "quoted"):
             target = name_of(self.next())
             if self.take("."):
@@ -453,6 +489,77 @@ class Parser:
             return Assign(target, value)
         raise self.fail("a statement")
 
+    def loop(self) -> Block:
+        """LOOP ... END LOOP"""
+        self.need("LOOP")
+        self.loops += 1
+        body = self.until_end("LOOP")
+        self.loops -= 1
+        return Block(body=body)
+
+    def until_end(self, word: str, *stops: str) -> list:
+        """Statements to END word, or to one of the stops, which stays."""
+        out = []
+        while not any(self.ahead(s) for s in stops):
+            if self.take("END"):
+                self.need(word)
+                self.take(";")
+                return out
+            if not self.take(";"):
+                out.append(self.statement())
+        return out
+
+    def counted(self, label: str | None) -> Block:
+        """FOR i IN [REVERSE] a..b LOOP: the bounds are taken once; the variable moves first, so that CONTINUE moves it too."""
+        self.next()
+        line, name = self.now.line, self.name()
+        self.need("IN")
+        back = self.take("REVERSE")
+        if self.ahead("SELECT") or self.ahead("("):
+            raise DialectError(f"line {line}: FOR over a cursor's rows has no translation")
+        low = self.until("..")
+        high = self.until("LOOP", eat=False)
+        self.made += 1
+        word = lambda text: Token("word", text, line)
+        op = lambda text: Token("op", text, line)
+        start, stop = (high, low) if back else (low, high)
+        last, step = f"{name}_last{self.made}", [op("+" if back else "-"), Token("number", "1", line)]
+        move = Assign(name, [word(name), op("-" if back else "+"), Token("number", "1", line)])
+        body = self.loop()
+        loop = While([word(name), op(">" if back else "<"), word(last)], Block(body=[move, *body.body]), label)
+        first = [Assign(name, [op("("), *start, op(")"), *step]), Assign(last, stop)]
+        return Block([Parameter(name, "BIGINT"), Parameter(last, "BIGINT")], [*first, loop])
+
+    def cases(self) -> If:
+        """The CASE statement as nested IFs; without ELSE and a match it does nothing."""
+        self.next()
+        subject = [] if self.ahead("WHEN") else self.until("WHEN", eat=False)
+        arms, other = [], None
+        while other is None and self.take("WHEN"):
+            test = self.until("THEN")
+            line = test[0].line if test else self.now.line
+            if subject:
+                test = [Token("op", "(", line), *subject, Token("op", ")", line), Token("op", "=", line), Token("op", "(", line), *test, Token("op", ")", line)]
+            before = self.at
+            arms.append((test, Block(body=self.until_end("CASE", "WHEN", "ELSE"))))
+            if self.ahead("ELSE"):
+                self.next()
+                other = Block(body=self.until_end("CASE"))
+            elif self.at > before and not self.ahead("WHEN"):
+                break
+        if not arms:
+            raise self.fail("WHEN")
+        for test, body in reversed(arms):
+            other = If(test, body, other)
+        return other
+
+    def returned(self) -> Block:
+        self.next()
+        value = self.until(";")
+        if value and self.result is None:
+            raise DialectError(f"line {value[0].line}: RETURN with a value outside a function")
+        return Block(body=[*([Assign(self.result, value)] if value else []), Exit()])
+
     def names_until_do(self) -> list[str]:
         out = self.names()
         self.need("DO")

@@ -8,9 +8,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+from . import constructs
 from .tokens import DialectError, Token, render, tokenize
-
-Tree = list  # of Token or Tree; a Tree begins with "(" and ends with ")"
+from .trees import Tree, before, flat, is_op, is_word, raw, split_commas, tree
 
 #: Functions whose name alone differs.
 RENAMED = {"IIF": "IF", "LIST": "LISTAGG", "SUBSTRING": "SUBSTRING", "CHAR_LENGTH": "LENGTH", "CHARACTER_LENGTH": "LENGTH", "STRLEN": "LENGTH", "OCTET_LENGTH": "OCTET_LENGTH", "ASCII_VAL": "ASCII", "ASCII_CHAR": "CHR", "MAXVALUE": "GREATEST", "MINVALUE": "LEAST", "CEILING": "CEIL", "RAND": "RAND", "GEN_UUID": "UUID", "WM_CONCAT": "LISTAGG", "STATS_MODE": "MODE", "SYSDATE": "LOCALTIMESTAMP", "SYSTIMESTAMP": "CURRENT_TIMESTAMP", "TO_TIMESTAMP": "TO_TIMESTAMP_NTZ"}
@@ -20,46 +20,6 @@ CLAUSES = {"WHERE", "GROUP", "HAVING", "ORDER", "UNION", "INTERSECT", "MINUS", "
 SETS = {"UNION", "INTERSECT", "MINUS", "EXCEPT"}
 
 
-def tree(tokens: Iterable[Token]) -> Tree:
-    stack: list[Tree] = [[]]
-    for t in tokens:
-        if t.kind == "end":
-            break
-        if t.text == "(" and t.kind == "op":
-            stack.append([t])
-        elif t.text == ")" and t.kind == "op":
-            if len(stack) == 1:
-                raise DialectError(f"line {t.line}: unexpected )")
-            stack[-1].append(t)
-            done = stack.pop()
-            stack[-1].append(done)
-        else:
-            stack[-1].append(t)
-    if len(stack) > 1:
-        raise DialectError(f"line {stack[-1][0].line}: ( is not closed")
-    return stack[0]
-
-
-def flat(x) -> list[Token]:
-    return [x] if isinstance(x, Token) else [t for y in x for t in flat(y)]
-
-
-def is_word(x, *names: str) -> bool:
-    return isinstance(x, Token) and x.kind == "word" and (not names or x.text.upper() in names)
-
-
-def is_op(x, *ops: str) -> bool:
-    return isinstance(x, Token) and x.kind == "op" and x.text in ops
-
-
-def raw(text: str, like: Token | None = None) -> Token:
-    return Token("raw", text, like.line if like else 0, like.before if like else " ")
-
-
-def _before(x) -> str:
-    return flat(x)[0].before if flat(x) else " "
-
-
 class Rewriter:
     """``variables`` are names that need no mark, as a script's; ``integers`` columns known to be integral."""
 
@@ -71,7 +31,7 @@ class Rewriter:
         """A query's tree, its set operations and subqueries included."""
         parts, out = [[]], []
         for y in x:
-            if is_word(y, *SETS):
+            if is_word(y, *SETS) and not (parts[-1] and is_word(parts[-1][-1], "MULTISET")):
                 parts.append([y])
             else:
                 parts[-1].append(y)
@@ -86,6 +46,8 @@ class Rewriter:
     def block(self, x: Tree, several: bool = False) -> Tree:
         if not x or not any(is_word(y, "SELECT") for y in x):
             return self.expressions(x)
+        constructs.refuse(x)
+        x = constructs.marked_joins(self, x)
         if any(is_word(y, "CONNECT") and is_word(z, "BY") for y, z in zip(x, x[1:], strict=False)):
             return self._hierarchy(x)
         at = next(i for i, y in enumerate(x) if is_word(y, "SELECT"))
@@ -208,7 +170,9 @@ class Rewriter:
         while i < len(x):
             y = x[i]
             follows = x[i + 1] if i + 1 < len(x) else None
-            if isinstance(y, list):
+            if (used := constructs.operator(self, x, i, out)) is not None:
+                i += used
+            elif isinstance(y, list):
                 inner = y[1:-1]
                 sub = bool(inner) and is_word(inner[0], "SELECT", "WITH")
                 out.append([y[0], *(self.query(inner) if sub else self.expressions(inner)), y[-1]])
@@ -220,7 +184,7 @@ class Rewriter:
                 out.append(y.with_text("<>"))
             elif is_op(y, "**") and out:
                 base, power = self._take(out), self.expressions([follows])
-                out.append(raw(f"{_before(base)}power({render(flat(base)).strip()}, {render(flat(power)).strip()})"))
+                out.append(raw(f"{before(base)}power({render(flat(base)).strip()}, {render(flat(power)).strip()})"))
                 i += 1
             elif is_op(y, "/") and out and self._integral(out[-1]) and follows is not None and self._integral(follows):
                 out.append(y.with_text(" DIV ", "raw"))
@@ -283,7 +247,7 @@ class Rewriter:
             test = f"NOT EXISTS (SELECT 1 FROM ({q}) AS q(v) WHERE NOT coalesce({a} {op.text} q.v, false))"
         else:
             test = f"EXISTS (SELECT 1 FROM ({q}) AS q(v) WHERE {a} {op.text} q.v)"
-        out.append(raw(f"{_before(left) or ' '}{test}"))
+        out.append(raw(f"{before(left) or ' '}{test}"))
         return 1
 
     def _predicate(self, x: Tree, i: int, out: Tree) -> int:
@@ -300,7 +264,7 @@ class Rewriter:
             stop += 1
         a, b = render(flat(left)).strip(), render(flat(self.expressions(x[j:stop]))).strip()
         call = f"startswith({a}, {b})" if is_word(y, "STARTING") else f"contains(lower({a}), lower({b}))"
-        out.append(raw(f"{_before(left) or ' '}{'NOT ' if negated else ''}{call}"))
+        out.append(raw(f"{before(left) or ' '}{'NOT ' if negated else ''}{call}"))
         return used + (stop - j) - 1
 
     def _integral(self, x) -> bool:
@@ -316,6 +280,8 @@ class Rewriter:
         put = lambda text: out.append(raw(f"{y.before}{text}"))
         plain = lambda z: render(flat(self.query(z) if z and is_word(z[0], "SELECT") else self.expressions(z))).strip()
         parts = split_commas(inner)
+        if (used := constructs.call(self, x, i, out)) is not None:
+            return used
         if name == "GEN_ID" and len(parts) == 2:
             put(f"{self.sequences}('{render(flat(parts[0])).strip().strip(chr(34)).lower()}', {plain(parts[1])})")
         elif name == "EXTRACT" and inner and is_word(inner[0], "WEEKDAY", "YEARDAY"):
@@ -354,16 +320,6 @@ class Rewriter:
         return 1
 
 
-def split_commas(x: Tree) -> list[Tree]:
-    out: list[Tree] = [[]]
-    for y in x:
-        if is_op(y, ","):
-            out.append([])
-        else:
-            out[-1].append(y)
-    return out if x else []
-
-
 def _types(inner: Tree) -> Tree:
     """A cast's target in Spark's names."""
     from ..catalog.types import UnsupportedTypeError, spark_type

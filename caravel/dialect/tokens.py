@@ -29,10 +29,10 @@ PATTERN = re.compile(
     r"""(?P<space>(?:\s+|--[^\n]*|/\*.*?\*/)+)
       | (?P<string>[xXnN]?'(?:[^']|'')*')
       | (?P<quoted>"(?:[^"]|"")*")
-      | (?P<number>\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|\.\d+)
+      | (?P<number>\d+(?:\.(?!\.)\d+)?(?:[eE][+-]?\d+)?|\.\d+)
       | (?P<bind>:\s*(?:"[^"]+"|[A-Za-z_][\w$]*))
       | (?P<word>[^\W\d][\w$]*)
-      | (?P<op>\|\||<>|<=|>=|!=|\^=|~=|:=|\*\*|[-+*/%=<>(),.;\[\]?@&|])""",
+      | (?P<op>\.\.|\|\||<>|<=|>=|!=|\^=|~=|:=|\*\*|[-+*/%=<>(),.;\[\]?@&|])""",
     re.VERBOSE | re.DOTALL,
 )
 

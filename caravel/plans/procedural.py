@@ -13,7 +13,7 @@ from ..dialect.parser import parse_script
 from ..operators import constraints, dml
 from ..operators.sequences import Sequences
 from ..operators.triggers import apply_hooks, compile_trigger
-from ..sources.loader import sanitized
+from ..sources.loader import Report, from_parquet, load, sanitized, tables_of
 from ..streaming import windows
 from .relational import use_tables
 
@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_three(spark: SparkSession, sf_dir: str) -> Report:
+    """A load of three tables and one whose source is not there; rows are counted, not written."""
+    frames = {n: table(spark, sf_dir, n) for n in ("nation", "region", "customer")}
+    tables = [*tables_of(frames), *tables_of({"absent": frames["nation"]})]
+    return load(spark, tables, from_parquet(spark, sf_dir), lambda t, df: df.count())
+
+
 def legacy(text: str, integers: tuple[str, ...] = (), **values: str) -> Query:
     """A script of the dialect whose last object or query gives the rows."""
 
@@ -67,6 +74,22 @@ plan("legacy_singular", legacy("SELECT r_name FROM region WHERE SINGULAR (SELECT
 plan("legacy_connect_by", (lambda spark, d: (spark.sql("SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN NULL ELSE n_nationkey DIV 3 END AS boss FROM parquet.`" + d + "/nation.parquet`").createOrReplaceTempView("emp"), legacy("SELECT id, level FROM emp WHERE id <> 5 START WITH boss IS NULL CONNECT BY PRIOR id = boss")(spark, d))[1]), "WITH RECURSIVE e AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN NULL ELSE n_nationkey // 3 END AS boss FROM nation), h AS (SELECT id, 1 AS level FROM e WHERE boss IS NULL UNION ALL SELECT e.id, level + 1 FROM h JOIN e ON e.boss = h.id) SELECT id, level FROM h WHERE id <> 5")
 plan("bind_variables", lambda spark, d: (use_tables(spark, d, "orders"), spark.sql("SELECT o_orderkey FROM orders WHERE o_totalprice > :low AND o_orderstatus = :st", args={"low": 150000, "st": "F"}))[1], "SELECT o_orderkey FROM orders WHERE o_totalprice > 150000 AND o_orderstatus = 'F'")
 
+# constructs that Spark SQL writes otherwise
+plan("legacy_formats", legacy("SELECT o_orderkey, TO_CHAR(o_orderdate, 'DD/MM/YYYY') AS d, TO_CHAR(o_orderdate, 'YYYY-DDD') AS j, TO_DATE(TO_CHAR(o_orderdate, 'YYYYMMDD'), 'YYYYMMDD') AS back, TO_CHAR(CAST(o_orderkey + 1 AS NUMERIC(12,0)), 'FM999999999') AS n FROM orders"), "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS d, strftime(o_orderdate, '%Y-%j') AS j, cast(o_orderdate AS date) AS back, cast(o_orderkey + 1 AS varchar) AS n FROM orders")
+plan("legacy_marked_join", legacy("SELECT s.s_suppkey, n.n_name, r.r_name FROM supplier s, nation n, region r WHERE s.s_nationkey = n.n_nationkey(+) AND n.n_regionkey(+) = 2 AND n.n_regionkey = r.r_regionkey(+) AND s.s_acctbal BETWEEN 0 AND 5000"), "SELECT s.s_suppkey, n.n_name, r.r_name FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey AND n.n_regionkey = 2 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey WHERE s.s_acctbal BETWEEN 0 AND 5000")
+plan("legacy_keep", legacy("SELECT o_custkey, MAX(o_totalprice) KEEP (DENSE_RANK LAST ORDER BY o_orderdate) AS newest, MIN(o_totalprice) KEEP (DENSE_RANK FIRST ORDER BY o_orderdate) AS oldest FROM orders GROUP BY o_custkey"), "SELECT o_custkey, max(o_totalprice) FILTER (WHERE o_orderdate = d1) AS newest, min(o_totalprice) FILTER (WHERE o_orderdate = d0) AS oldest FROM (SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS d1, min(o_orderdate) OVER (PARTITION BY o_custkey) AS d0 FROM orders) GROUP BY o_custkey")
+plan("legacy_hypothetical_rank", legacy("SELECT o_orderstatus, RANK(100000) WITHIN GROUP (ORDER BY o_totalprice) AS r, DENSE_RANK(50) WITHIN GROUP (ORDER BY o_custkey DESC) AS dr FROM orders GROUP BY o_orderstatus"), "SELECT o_orderstatus, 1 + count(*) FILTER (WHERE o_totalprice < 100000) AS r, 1 + count(DISTINCT o_custkey) FILTER (WHERE o_custkey > 50) AS dr FROM orders GROUP BY o_orderstatus")
+plan("legacy_apply", legacy("SELECT c.c_custkey, t.biggest FROM customer c OUTER APPLY (SELECT FIRST 1 o_totalprice AS biggest FROM orders o WHERE o.o_custkey = c.c_custkey ORDER BY o_totalprice DESC) t"), "SELECT c_custkey, max(o_totalprice) AS biggest FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+plan("legacy_multiset", legacy("SELECT vec_id, label MEMBER OF array(0, 1, 2) AS m, array(label, label) SUBMULTISET OF array(1, 1, 2) AS s, array_join(array(1, 1, 2) MULTISET EXCEPT array(1), ',') AS e, array_join(array(1, 1) MULTISET UNION DISTINCT array(2), ',') AS u FROM embeddings"), "SELECT vec_id, label IN (0, 1, 2) AS m, label = 1 AS s, '1,2' AS e, '1,2' AS u FROM embeddings")
+plan("legacy_cursor_expression", legacy("SELECT n_nationkey, SIZE(CURSOR(SELECT c_custkey FROM customer WHERE c_nationkey = n_nationkey)) AS n FROM nation"), "SELECT n_nationkey, cast(count(c_custkey) AS int) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey")
+plan("legacy_float_json_tests", legacy("SELECT event_id FROM events WHERE value IS NOT NAN AND NOT value IS INFINITE AND props IS JSON"), "SELECT event_id FROM events WHERE NOT isnan(value) AND NOT isinf(value) AND json_valid(props)")
+plan("legacy_conversions", legacy("SELECT p_partkey, CAST(p_name AS INTEGER DEFAULT -1 ON CONVERSION ERROR) AS c, VALIDATE_CONVERSION(p_name AS INTEGER) AS v, TO_BINARY_DOUBLE('1.5') AS d, TIMESTAMP_NTZ '2020-01-01 00:00:00' + TO_DSINTERVAL('1 02:03:04') AS t FROM part"), "SELECT p_partkey, coalesce(try_cast(p_name AS int), -1) AS c, CASE WHEN try_cast(p_name AS int) IS NULL THEN 0 ELSE 1 END AS v, 1.5::double AS d, TIMESTAMP '2020-01-02 02:03:04' AS t FROM part")
+plan("legacy_json", legacy("SELECT event_id, JSON_OBJECT('id' VALUE event_id, KEY 't' VALUE event_type) AS o, JSON_ARRAY(1, event_type, NULL) AS a, JSON_QUERY(props, '$.k') AS q, JSON_EXISTS(props, '$.zz') AS e FROM events"), "SELECT event_id, '{\"id\":' || event_id || ',\"t\":\"' || event_type || '\"}' AS o, '[1,\"' || event_type || '\"]' AS a, json_extract_string(props, '$.k') AS q, false AS e FROM events")
+plan("legacy_json_table", legacy("SELECT e.event_id, j.k, j.n FROM events e, JSON_TABLE(e.props, '$' COLUMNS (k BIGINT PATH '$.k', n FOR ORDINALITY)) j"), "SELECT event_id, cast(json_extract_string(props, '$.k') AS bigint) AS k, 1 AS n FROM events")
+plan("legacy_json_xml_aggregates", legacy('SELECT n_regionkey, JSON_ARRAYAGG(n_nationkey ORDER BY n_nationkey DESC) AS arr, XMLELEMENT("r", XMLAGG(XMLELEMENT("n", n_name) ORDER BY n_name)) AS doc, array_join(COLLECT(n_name ORDER BY n_name), \',\') AS names FROM nation GROUP BY n_regionkey'), "SELECT n_regionkey, '[' || string_agg(n_nationkey::varchar, ',' ORDER BY n_nationkey DESC) || ']' AS arr, '<r>' || string_agg('<n>' || n_name || '</n>', '' ORDER BY n_name) || '</r>' AS doc, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey")
+plan("legacy_xml", legacy('SELECT n_nationkey, XMLFOREST(n_name AS "n", n_nationkey AS "k") AS f, XMLELEMENT("a", XMLATTRIBUTES(n_nationkey AS "id"), n_name || \'<&\') AS e, XMLPI(NAME "p", \'x\') AS i, XMLSERIALIZE(CONTENT XMLPARSE(CONTENT \'<a/>\' WELLFORMED) AS VARCHAR(10)) AS s FROM nation'), "SELECT n_nationkey, '<n>' || n_name || '</n><k>' || n_nationkey || '</k>' AS f, '<a id=\"' || n_nationkey || '\">' || n_name || '&lt;&amp;</a>' AS e, '<?p x?>' AS i, '<a/>' AS s FROM nation")
+plan("legacy_lag_diff", legacy("SELECT o_orderkey, ROUND(LAG_DIFF(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), 4) AS d FROM orders"), "SELECT o_orderkey, round(o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), 4) AS d FROM orders")
+
 # procedures
 plan("proc_suspend_loop", legacy("""
     CREATE PROCEDURE P RETURNS (id BIGINT, nome VARCHAR(100)) AS
@@ -172,7 +195,7 @@ plan("uk_violations", lambda spark, d: constraints.duplicate_keys(table(spark, d
 plan("fk_violations", lambda spark, d: constraints.missing_references(table(spark, d, "lineitem"), ["l_orderkey"], table(spark, d, "orders").where("o_totalprice < 200000"), ["o_orderkey"]), "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice < 200000)")
 plan("check_violations", lambda spark, d: constraints.failed_check(table(spark, d, "customer"), "c_acctbal >= 0").select("c_custkey"), "SELECT c_custkey FROM customer WHERE c_acctbal < 0")
 plan("nul_sanitize", lambda spark, d: sanitized(table(spark, d, "customer").selectExpr("c_custkey", "concat(c_name, char(0), 'x') AS name", "c_acctbal")), "SELECT c_custkey, c_name || 'x' AS name, c_acctbal FROM customer")
-plan("load_report", lambda spark, d: spark.createDataFrame([("nation", 25, None), ("bad", 0, "OSError")], "table string, rows long, error string").agg(F.count_if(F.col("error").isNull()).alias("loaded"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.sum("rows").alias("rows")), "SELECT 1::bigint AS loaded, 1::bigint AS failed, 25::bigint AS rows")
+plan("load_report", lambda spark, d: load_three(spark, d).summary(spark), "SELECT 3::bigint AS loaded, 1::bigint AS failed, cast((SELECT count(*) FROM nation) + (SELECT count(*) FROM region) + (SELECT count(*) FROM customer) AS bigint) AS rows")
 
 
 # the catalog, from rows that stand for a source's
