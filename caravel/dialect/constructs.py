@@ -60,7 +60,7 @@ def _find(run: Tree, *words: str) -> int | None:
 
 def refuse(x: Tree) -> None:
     """A ``DialectError`` for clauses of a block that have no translation."""
-    for words, what in ((("CURRENT", "OF"), "WHERE CURRENT OF"), (("ORDER", "SIBLINGS"), "ORDER SIBLINGS BY"), (("AS", "OF"), "AS OF"), (("VERSIONS", "BETWEEN"), "VERSIONS"), (("DIMENSION", "BY"), "MODEL"), (("SEARCH", "DEPTH"), "SEARCH"), (("SEARCH", "BREADTH"), "SEARCH")):
+    for words, what in ((("ORDER", "SIBLINGS"), "ORDER SIBLINGS BY"), (("AS", "OF"), "AS OF"), (("VERSIONS", "BETWEEN"), "VERSIONS"), (("DIMENSION", "BY"), "MODEL"), (("SEARCH", "DEPTH"), "SEARCH"), (("SEARCH", "BREADTH"), "SEARCH")):
         at = _find(x, *words)
         if at is not None:
             raise DialectError(f"line {x[at].line}: {what} has no translation")
@@ -162,6 +162,8 @@ def operator(r, x: Tree, i: int, out: Tree) -> int | None:
         if is_op(y, "%") and word(1) in ("ISOPEN", "FOUND", "NOTFOUND", "ROWCOUNT"):
             raise DialectError(f"line {y.line}: %{word(1)} has no translation")
         return None
+    if word(0) == "CURRENT" and word(1) == "OF":
+        raise DialectError(f"line {y.line}: WHERE CURRENT OF has no translation")
     if word(0) in ("CROSS", "OUTER") and word(1) == "APPLY" and i + 2 < len(x):
         out.append(raw(f"{y.before}{'CROSS' if word(0) == 'CROSS' else 'LEFT'} JOIN LATERAL"))
         return 1

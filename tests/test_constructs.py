@@ -13,6 +13,10 @@ from caravel.engine import Engine
     "SELECT a FROM t AS OF TIMESTAMP '2020-01-01 00:00:00'",
     "SELECT a FROM t ORDER SIBLINGS BY a",
     "UPDATE t SET a = (SELECT 1 FROM u WHERE CURRENT OF c)",
+    "DELETE FROM t WHERE CURRENT OF c",
+    "SELECT a FROM t MODEL DIMENSION BY (k) MEASURES (v) RULES (v[1] = 2)",
+    "WITH q (a) AS (SELECT 1 FROM t) CYCLE a SET c TO 'Y' DEFAULT 'N' SELECT a FROM q",
+    "SELECT JSON_EQUAL(a, b) FROM t",
     "WITH q (a) AS (SELECT 1 FROM t) SEARCH DEPTH FIRST BY a SET o SELECT a FROM q",
     "SELECT a FROM t PARTITION BY (k) RIGHT OUTER JOIN u ON t.a = u.a",
     "SELECT PREDICTION(m, a) FROM t",
