@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +40,32 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/caravel-{kind}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def having(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Bytes of an Arrow batch: texts and shingle sets are long, and executor and worker hold a batch each, twice while it grows.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: computed once, kept in the shared folder, so that a lost executor costs no recomputation of the lineage."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with having(df.sparkSession, BATCHES):
+        return df.checkpoint(eager=True)
 
 
 #: Lets a write release its shuffle files as soon as it is over.
-RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+RELEASE = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
@@ -54,12 +74,9 @@ def stored(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
     The table goes when the application ends, or by drop().
     """
     spark = df.sparkSession
-    path, before = scratch(spark, kind), spark.conf.get(RELEASE, "false")
-    spark.conf.set(RELEASE, "true")
-    try:
+    path = scratch(spark, kind)
+    with having(spark, RELEASE | BATCHES):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(RELEASE, before)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path), path

@@ -187,14 +187,14 @@ def _block_links(radius: int, similarity: float | None):
         if home.empty or probe.empty:
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         x, y = probe["fp"].to_numpy().view(np.uint64), home["fp"].to_numpy().view(np.uint64)
-        near = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
+        near = np.concatenate([np.bitwise_count(x[k : k + 64, None] ^ y[None, :]) <= radius for k in range(0, len(x), 64)])
         if "comp" in pdf:
             near &= probe["comp"].to_numpy()[:, None] != home["comp"].to_numpy()[None, :]
         if similarity is not None:
             a, b = (np.frombuffer(b"".join(p["sketch"]), "<u2").reshape(len(p), SKETCH) for p in (probe, home))
             i, j = np.nonzero(near)
-            for at in range(0, len(i), 1 << 15):
-                c = slice(at, at + (1 << 15))
+            for at in range(0, len(i), 1 << 13):
+                c = slice(at, at + (1 << 13))
                 near[i[c], j[c]] = similarities(a[i[c]], b[j[c]]) >= similarity - SLACK
             px, py, top = probe["node"].to_numpy(), home["node"].to_numpy(), np.iinfo(np.int64).max
             hx, hy = near.any(axis=1), near.any(axis=0)

@@ -10,11 +10,14 @@ whole texts encoded by the library.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
+import threading
+import time
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,9 @@ import pyarrow.compute as pc
 END = 2
 #: Distinct units that one Python worker remembers; beyond it the cache starts anew.
 CACHE_UNITS = 300_000
+#: Seconds without a text after which a worker gives its encoder back.
+IDLE = 8.0
+_held: dict[str, WordEncoder] = {}
 #: Bytes of text that are encoded at once; longer texts are cut at white space.
 CHUNK = 2 << 20
 # The normaliser and the pre-tokenizer's pattern under which units are independent, and the end-of-word mark.
@@ -97,6 +103,7 @@ class WordEncoder:
 
         self.tokenizer, self.limit, self.chunk = Tokenizer.from_file(vocabulary), cache_units, chunk
         self.by_units = self._independent()
+        self.at = time.monotonic()
         self.reset()
 
     def _independent(self) -> bool:
@@ -166,6 +173,7 @@ class WordEncoder:
 
     def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a string array without nulls, and where each text's begin (and the last's end)."""
+        self.at = time.monotonic()
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().cast(pa.binary()).dictionary_encode()
         cut, per_word, left = units(words.dictionary)
@@ -193,6 +201,7 @@ class WordEncoder:
 
     def encode_column(self, texts: pa.Array, end: int | None = None) -> Iterator[np.ndarray]:
         """The ids of each text of a string array, with ``end`` after it; nulls are empty."""
+        self.at = time.monotonic()
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
         texts = pc.fill_null(texts.cast(pa.string()), "")
         tail, sizes = np.array([] if end is None else [end], dtype=np.uint32), pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -223,7 +232,20 @@ def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.nd
     return flat[np.repeat(first - stops + size, size) + np.arange(int(stops[-1]) if len(stops) else 0)], size
 
 
-@lru_cache(maxsize=2)
+def _give_back(vocabulary: str) -> None:
+    """Drops the encoder of a worker once it was idle for IDLE seconds: such workers live on, and count as the executor's memory."""
+    while time.monotonic() - _held[vocabulary].at < IDLE:
+        time.sleep(IDLE / 4)
+    del _held[vocabulary]
+    gc.collect()
+    getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+
 def encoder(vocabulary: str) -> WordEncoder:
-    """One encoder a Python worker, kept between its tasks."""
-    return WordEncoder(vocabulary)
+    """One encoder a Python worker, kept between its tasks as long as these follow one another."""
+    held = _held.get(vocabulary)
+    if held is None:
+        held = _held[vocabulary] = WordEncoder(vocabulary)
+        threading.Thread(target=_give_back, args=(vocabulary,), daemon=True).start()
+    held.at = time.monotonic()
+    return held
