@@ -91,3 +91,20 @@ def test_anonymous_blocks_parse():
 def test_statements_without_translation_are_errors(line):
     with pytest.raises(DialectError):
         parse_script(f"CREATE PROCEDURE p AS DECLARE a INTEGER; BEGIN {line} END;")
+
+
+def test_bounded_subqueries_keep_their_order_for_every_outer_row(spark):
+    spark.range(40).selectExpr("id AS k").createOrReplaceTempView("outer_rows")
+    spark.range(4000, numPartitions=8).selectExpr("pmod(hash(id), 40) AS fk", "id", "hash(id, 7) AS v").createOrReplaceTempView("inner_rows")
+    by_key = {}
+    for r in spark.table("inner_rows").collect():
+        by_key.setdefault(r.fk, []).append((r.v, r.id))
+    top = {k: sorted(x, reverse=True) for k, x in by_key.items()}
+    ask = lambda text: sorted(tuple(r) for r in spark.sql(translate_query(text)).collect())
+    one = sorted((k, top[k][0][0]) for k in top)
+    assert len(top) == 40 and ask("SELECT o.k, t.b FROM outer_rows o OUTER APPLY (SELECT FIRST 1 v AS b FROM inner_rows i WHERE i.fk = o.k ORDER BY v DESC) t") == one
+    assert ask("SELECT o.k, COALESCE((SELECT FIRST 1 v AS b FROM inner_rows i WHERE i.fk = o.k ORDER BY 1 DESC), 0) AS b FROM outer_rows o") == one
+    assert ask("SELECT o.k, t.id FROM outer_rows o CROSS APPLY (SELECT id FROM inner_rows i WHERE i.fk = o.k ORDER BY i.v DESC ROWS 2 TO 3) t") == sorted((k, x[1]) for k in top for x in top[k][1:3])
+    assert ask("SELECT o.k, t.id FROM outer_rows o CROSS APPLY (SELECT id FROM (SELECT FIRST 1 id, v AS w FROM inner_rows i WHERE i.fk = o.k ORDER BY w DESC) d) t") == sorted((k, top[k][0][1]) for k in top)
+    assert ask("SELECT o.k, t.m FROM outer_rows o CROSS APPLY (SELECT FIRST 1 MAX(v) AS m FROM inner_rows i WHERE i.fk = o.k GROUP BY MOD(id, 3) ORDER BY MAX(v) DESC) t") == one
+    assert len(ask("SELECT o.k, t.id FROM outer_rows o CROSS APPLY (SELECT FIRST 2 id FROM inner_rows i WHERE i.fk = o.k) t")) == 80
