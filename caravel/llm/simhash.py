@@ -12,8 +12,8 @@
    returns a spanning forest of its links, not the links.  So no bucket is collected whole and none is capped.
 6. Components of the links, by stars.
 
-Where a similarity is asked for (``similar_groups``), fingerprints only say which pairs are looked at first; setjoin.py
-finds every other pair of at least that Jaccard similarity of shingle sets.
+Where a similarity is asked for (``similar_groups``), fingerprints only say which pairs are looked at first, by keys of
+their bits and without steps 3 to 5; setjoin.py finds every other pair of at least that Jaccard similarity of shingle sets.
 
 Results in unusual cases: texts without a word (null, empty or blank) have fingerprint zero and are linked like any
 other; repeated rows of an id all get that id's component; rows with a null id get a fingerprint, no component and
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, stored
+from .common import cut, drop, stored, with_aggregates
 from .graph import connected_components
 from .setjoin import shingle_set, similar_pairs, verified
 
@@ -50,6 +50,8 @@ SKETCH, SLACK = 128, 0.2
 PROBE_COST, CANDIDATE_COST = 100.0, 1.0
 #: Where a similarity is asked for, pairs within so few bits are linked first; the prefixes find all others.
 FIRST_RADIUS = 5
+#: For that first look, fingerprints have one key for each KEYED of their BLOCKS of bits, so KEYED bits apart they still share one.
+BLOCKS, KEYED = 6, 3
 
 
 def fingerprint(text: str | None, shingle: int = 4, chunk: int = 1 << 15) -> int:
@@ -176,11 +178,8 @@ def _flips(mask: int, t: int) -> list[int]:
     return [_signed(sum(c)) for k in range(t + 1) for c in combinations(bits, k)]
 
 
-def _block_links(radius: int, similarity: float | None):
-    """For a pair of blocks: the links between index and probing nodes, as a forest of (node, least node reached).
-
-    With a similarity, which estimates cannot settle: for every node the pair with the least node that may be alike.
-    """
+def _block_links(radius: int):
+    """For a pair of blocks: the links between index and probing nodes, as a forest of (node, least node reached)."""
 
     def run(pdf):
         home, probe = pdf[pdf["home"]], pdf[~pdf["home"]]
@@ -188,18 +187,6 @@ def _block_links(radius: int, similarity: float | None):
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         x, y = probe["fp"].to_numpy().view(np.uint64), home["fp"].to_numpy().view(np.uint64)
         near = np.concatenate([np.bitwise_count(x[k : k + 64, None] ^ y[None, :]) <= radius for k in range(0, len(x), 64)])
-        if "comp" in pdf:
-            near &= probe["comp"].to_numpy()[:, None] != home["comp"].to_numpy()[None, :]
-        if similarity is not None:
-            a, b = (np.frombuffer(b"".join(p["sketch"]), "<u2").reshape(len(p), SKETCH) for p in (probe, home))
-            i, j = np.nonzero(near)
-            for at in range(0, len(i), 1 << 13):
-                c = slice(at, at + (1 << 13))
-                near[i[c], j[c]] = similarities(a[i[c]], b[j[c]]) >= similarity - SLACK
-            px, py, top = probe["node"].to_numpy(), home["node"].to_numpy(), np.iinfo(np.int64).max
-            hx, hy = near.any(axis=1), near.any(axis=0)
-            out = pd.DataFrame({"a": np.concatenate([px[hx], py[hy]]), "b": np.concatenate([np.where(near, py[None, :], top).min(axis=1)[hx], np.where(near, px[:, None], top).min(axis=0)[hy]])})
-            return out[out["a"] != out["b"]].drop_duplicates()
         lx, ly, top = probe["node"].to_numpy().copy(), home["node"].to_numpy().copy(), np.iinfo(np.int64).max
         while True:
             nx = np.minimum(lx, np.where(near, ly[None, :], top).min(axis=1))
@@ -213,13 +200,9 @@ def _block_links(radius: int, similarity: float | None):
     return run
 
 
-def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do.
-
-    With ``known`` sketches (node, sketch) they are pairs that may have the ``similarity``, to be verified; of hot
-    buckets, not all.  Where nodes have a column ``comp``, pairs of one component do not count.
-    """
-    own_cols = ["node", "fp", *(["comp"] if "comp" in nodes.columns else [])]
+def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, fp), distinct fingerprints, exactly as all pairs within ``radius`` bits do."""
+    own_cols = ["node", "fp"]
     count = nodes.count()
     sample = np.array([r.fp for r in nodes.orderBy(F.xxhash64("fp")).limit(SAMPLE).select("fp").collect()], dtype=np.int64).view(np.uint64)
     parts = [(i, mask, t) for i, (mask, t) in enumerate(plan(sample, count, radius))]
@@ -241,10 +224,7 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     met = (F.col("h.part") == F.col("p.part")) & (F.col("h.value") == F.col("p.value"))
     close = F.bit_count(F.col("h.fp").bitwiseXOR(F.col("p.fp"))) <= radius
     once = (own < F.col("p.value")) | (F.col("p.node") < F.col("h.node"))
-    apart = F.col("h.comp") != F.col("p.comp") if "comp" in own_cols else F.lit(True)
-    found = probes.alias("p").join(cold.alias("h"), met & close & once & apart).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
-    if known is not None:
-        found = _plausible(found.distinct(), known, similarity)
+    found = probes.alias("p").join(cold.alias("h"), met & close & once).select(F.col("p.node").alias("a"), F.col("h.node").alias("b"))
     if not some_hot:
         return found
     # a hot bucket of n nodes and p probes: ceil(n / BLOCK) x ceil(p / BLOCK) groups
@@ -256,12 +236,32 @@ def links(nodes: DataFrame, radius: int = 4, known: DataFrame | None = None, sim
     cols = ["part", "value", "i", "j", *own_cols]
     left = home.join(pb, ["part", "value"]).withColumn("i", block("nb")).withColumn("j", all_of("pb")).select(*cols, F.lit(True).alias("home"))
     right = probes.join(pb, ["part", "value"]).withColumn("j", block("pb")).withColumn("i", all_of("nb")).select(*cols, F.lit(False).alias("home"))
-    both = left.union(right)
-    both = both.join(known, "node") if known is not None else both
-    forest = both.groupBy("part", "value", "i", "j").applyInPandas(_block_links(radius, similarity), "a long, b long")
+    forest = left.union(right).groupBy("part", "value", "i", "j").applyInPandas(_block_links(radius), "a long, b long")
     return found.union(forest)
 
 
+def first_keys(nodes: DataFrame) -> DataFrame:
+    """(node, fp, part, value) of nodes (node, fp): a row for each KEYED of the BLOCKS of bits, however many nodes there are."""
+    blocks = [sum(1 << b for b in range(i, BITS, BLOCKS)) for i in range(BLOCKS)]
+    keys = [F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(sum(c)))).alias("value")) for i, c in enumerate(combinations(blocks, KEYED))]
+    return nodes.select("node", "fp", F.explode(F.array(*keys)).alias("k")).select("node", "fp", "k.part", "k.value")
+
+
+def first_pairs(nodes: DataFrame, radius: int) -> tuple[DataFrame, str]:
+    """Pairs (a, b) of nodes (node, fp) within ``radius`` bits: every node with the least of those that share a key with it.
+    And the path of their table.
+
+    Not all pairs within the radius: what they leave out is for the search by similarity that follows.
+    """
+    keys, place = stored(first_keys(nodes), "keys")
+    least = F.min(F.struct("node", "fp")).alias("least")
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("least.fp"))) <= radius
+    met = with_aggregates(keys, ["part", "value"], [least], "node").where((F.col("least.node") < F.col("node")) & close)
+    pairs, at = stored(met.select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct(), "first")
+    drop(nodes.sparkSession, place)
+    return pairs, at
+
+
 def _plausible(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) that the sketches' estimates do not put far below the similarity."""
 
@@ -284,8 +284,9 @@ def similar_groups(rows: DataFrame, nodes: DataFrame, radius: int, shingle: int,
     """(node, component) of nodes (node, fp, set, sketch), linked by the similarity of the shingles of rows (id, text)."""
     known = nodes.select("node", "sketch")
     edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    close = links(nodes.select("node", "fp"), min(radius, FIRST_RADIUS), known, similarity)
+    close, place = first_pairs(nodes.select("node", "fp"), min(radius, FIRST_RADIUS))
     first = cut(connected_components(verified(_least(close), rows, shingle, similarity)))
+    drop(rows.sparkSession, place)
     apart = cut(nodes.select("node").distinct().join(first, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
     pairs, held = similar_pairs(rows, apart, shingle, similarity)
     pairs, place = stored(_plausible(pairs, known, similarity), "pairs")

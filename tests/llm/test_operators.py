@@ -175,6 +175,27 @@ def test_every_similar_pair_is_met(spark, similar, monkeypatch, hot):
     assert all(p in found or of[p[0]] == of[p[1]] for p in close) and len(found) < len(alike) / 10
 
 
+def test_the_first_look_of_near_dedup_takes_the_same_rows_for_every_node(spark, monkeypatch):
+    rng = random.Random(5)
+    for n in (40, 1000):
+        far = [rng.getrandbits(64) for _ in range(n // 2)]
+        near = [far[0] ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 7))) for _ in range(n // 2)]
+        nodes = {i: fp for i, fp in enumerate(far + near)}
+        df = spark.createDataFrame([(i, simhash._signed(fp)) for i, fp in nodes.items()], "node long, fp long")
+        assert simhash.first_keys(df).count() == 20 * len(nodes)
+        pairs, _ = simhash.first_pairs(df, 5)
+        got = {(r.a, r.b) for r in pairs.collect()}
+        assert all(b < a and (nodes[a] ^ nodes[b]).bit_count() <= 5 for a, b in got)
+        # node 0 is the least of every bucket it is in, and within 3 bits of it some key agrees
+        assert {a for a in nodes if 0 < (nodes[a] ^ nodes[0]).bit_count() <= 3} <= {a for a, b in got if b == 0}
+    # neither thresholds by the number of nodes nor probes are left in the search by similarity
+    monkeypatch.setattr(simhash, "plan", None)
+    texts = [" ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59)), "some other words that are here alone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = simhash.near_duplicates(docs, radius=9, shingle=5, similarity=0.8)
+    assert {r.id: r.component_id for r in found.collect()} == {0: 0, 1: 0, 2: 2}
+
+
 @pytest.mark.parametrize("rounds", [0, 1, 4])
 def test_a_group_on_both_sides_of_the_similarity(spark, monkeypatch, rounds):
     """Copies of two texts by words replaced, put in and left out, with lines that others hold: as brute force has it."""
